@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edispark.llm import rules
+from edispark.llm import mixing, rules
 from edispark.llm.common import table
 from edispark.shipping import ship
 
@@ -18,7 +18,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine tenths of the largest entropy or four passes at most, at the corpus's own number of tokens."""
+    shown = mixing.mixed(table(spark, sf_dir, "documents"), mixing.Goal(entropy=0.9, repeats=4.0))
+    return shown.select(
+        F.col("_row.doc_id").alias("doc_id"), F.col("_s").alias("source"), F.col("_n").alias("n_tokens"), F.col("_pass").alias("pass"),
+        F.col("_block").alias("block"), F.col("_weight").alias("weight"), F.col("_mix_key").alias("mix_key"),
+    )
+
+
 QUERIES = {
+    "op8_mix_sources": op8_mix_sources,
     "op7_quality_rules": op7_quality_rules,
 }
 
