@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edispark.llm import mixing, rules
+from edispark.llm import mixing, rules, token_files
 from edispark.llm.common import table
 from edispark.shipping import ship
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.tokenized(table(spark, sf_dir, "documents"), token_files.vocabulary_path("byte_bpe_50k.json"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     book = rules.ledger(table(spark, sf_dir, "documents"))
     return book.select(
@@ -28,6 +32,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_token_files": op6_token_files,
     "op8_mix_sources": op8_mix_sources,
     "op7_quality_rules": op7_quality_rules,
 }
