@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edispark.llm import mixing, rules, token_files
+from edispark.llm import mixing, rules, token_files, topk
 from edispark.llm.common import table
 from edispark.shipping import ship
 
@@ -31,7 +31,12 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
+    "op9_top_k": op9_top_k,
     "op6_token_files": op6_token_files,
     "op8_mix_sources": op8_mix_sources,
     "op7_quality_rules": op7_quality_rules,
@@ -39,10 +44,19 @@ QUERIES = {
 
 _WORD = r"[^\x20\x09-\x0D]+"
 ORACLE_SQL = {
+    "op9_top_k": """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as c from embeddings
+           where embedding is not null and len(embedding) > 0 and vec_id is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+q as (select * from v where vec_id % 50 = 0),
+s as (select q.vec_id as query_id, v.vec_id, list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * v.c[i]))::bigint as score
+      from q join v on q.vec_id <> v.vec_id)
+select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
+from s qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5""",
     "op7_quality_rules": rf"""
 with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
 w as (select *, regexp_extract_all(text, '{_WORD}') as words,
-        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{_WORD}')) as lines from d),
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as lines from d),
 win as (select rid, len(words) as n, generate_subscripts(words, 1) as i, words from w),
 tri as (select rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] as t from win where i <= n - 2),
 rep as (select rid, i from tri qualify count(*) over (partition by rid, t) > 1),
