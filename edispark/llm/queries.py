@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edispark.llm import mixing, rules, token_files, topk
+from edispark.llm import chat, mixing, rules, token_files, topk
 from edispark.llm.common import table
 from edispark.shipping import ship
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each text is one text part; conversation -1 holds control strings in both its turns."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-1, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))], turns.schema)
+    turns = turns.unionByName(own)
+    return chat.read_back(chat.formatted_turns(turns, chat.text_parts(F.col("text"))))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.tokenized(table(spark, sf_dir, "documents"), token_files.vocabulary_path("byte_bpe_50k.json"))
 
@@ -36,6 +44,7 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_chat_format": op4_chat_format,
     "op9_top_k": op9_top_k,
     "op6_token_files": op6_token_files,
     "op8_mix_sources": op8_mix_sources,
@@ -44,6 +53,16 @@ QUERIES = {
 
 _WORD = r"[^\x20\x09-\x0D]+"
 ORACLE_SQL = {
+    "op4_chat_format": r"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+           union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e as (select *, regexp_replace(text, '(<|\[)(\\*)(\|turn\|>|\|text\|>|\|end\|>|\|image\|>|\|audio\|>|\|document\|>|\|im_start\|>|\|im_end\|>|\|endoftext\|>|\|startoftext\|>|INST\]|/INST\]|SYS>|/SYS>|s>|/s>|unk>)', '\1\2\\\3', 'g') as out from t)
+select conv_id::bigint as conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(length('<|turn|>') + length(role) + length('<|text|>') + length(out) + length('<|end|>'))::bigint as formatted_chars
+from e group by conv_id""",
     "op9_top_k": """
 with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as c from embeddings
            where embedding is not null and len(embedding) > 0 and vec_id is not null
