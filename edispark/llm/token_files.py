@@ -31,9 +31,12 @@ from edispark.shipping import shared_dir, ship
 
 END = 2
 #: Pieces that a worker keeps before it starts anew.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 1_500_000
 _PIECE = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
-_OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f-\u2060\u3000\ufeff]")
+#: Single blanks and line ends between words need no pattern to cut at; these do.
+_RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
+_ASCII_OTHERS = ("\x1c", "\x1d", "\x1e", "\x1f")
+_OTHER_SPACES = _ASCII_OTHERS + tuple(map(chr, (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)))
 
 
 def vocabulary_path(name: str) -> str:
@@ -59,6 +62,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         made = json.loads(self.tokenizer.to_str())
         kind = made.get("pre_tokenizer") or {}
         self.by_piece = made.get("normalizer") is None and made["model"]["type"] == "BPE" and kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space")
@@ -71,6 +75,7 @@ class Encoder:
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(others)}
         self.pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.after_blank: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -81,31 +86,52 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _part(self, part: str) -> bytes:
-        got = self.parts.get(part)
-        if got is None:
-            merged = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))
-            got = self.parts[part] = array("I", [t.id for t in merged]).tobytes()
+    def _merged(self, part: str) -> bytes:
+        tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.alphabet))
+        return array("I", [t.id for t in tokens]).tobytes()
+
+    def _piece(self, piece: str, keep: bool = True) -> bytes:
+        """Ids of a new piece; its parts are kept only where it has several, as words meet many signs."""
+        split = self.pattern.findall(piece)
+        if len(split) == 1:
+            got = self.parts.get(piece) or self.pieces.get(piece) or self._merged(piece)
+        else:
+            known = self.parts
+            for x in split:
+                if x not in known:
+                    known[x] = self.pieces.get(x) or self._merged(x)
+            got = b"".join([known[x] for x in split])
+        if keep:
+            self.pieces[piece] = got
+        return got
+
+    def _after_blank(self, word: str) -> bytes:
+        """Ids of a word behind a blank, or of one that begins with its own line end."""
+        got = self.after_blank[word] = self._piece(word if word[:1] == "\n" else " " + word, keep=False)
         return got
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.pieces) + len(self.parts) > KEPT_PIECES:
+        if len(self.pieces) + len(self.parts) + len(self.after_blank) > KEPT_PIECES:
             self.pieces.clear()
             self.parts.clear()
-        known, split, part = self.pieces, self.pattern.findall, self._part
+            self.after_blank.clear()
+        known, piece = self.pieces.get, self._piece
+        after_blank, blank = self.after_blank.get, self._after_blank
         for text in texts:
-            if not self.by_piece or _OTHER_SPACE.search(text):
+            if not self.by_piece or any(c in text for c in (_ASCII_OTHERS if text.isascii() else _OTHER_SPACES)):
                 yield self._whole([text])[0]
-                continue
-            pieces = _PIECE.findall(text)
-            try:
-                yield b"".join([known[p] for p in pieces])
-            except KeyError:
-                for p in pieces:
-                    if p not in known:
-                        known[p] = b"".join([part(x) for x in split(p)])
-                yield b"".join([known[p] for p in pieces])
+            elif any(c in text for c in _RUNS):
+                yield b"".join([known(p) or piece(p) for p in _PIECE.findall(text)])
+            elif text:
+                words = text.replace("\n", " \n").split(" ")
+                ids = list(map(after_blank, words))
+                ids[0] = (known(words[0]) or piece(words[0])) if words[0] else b""
+                if None in ids:
+                    ids = [blank(w) if x is None else x for w, x in zip(words, ids, strict=True)]
+                yield b"".join(ids)
+            else:
+                yield b""
 
 
 def _encoded(path: str, end: int):
