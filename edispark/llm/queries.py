@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edispark.llm import chat, mixing, rules, token_files, topk
+from edispark.llm import chat, mixing, neardup, rules, token_files, topk
 from edispark.llm.common import table
 from edispark.shipping import ship
 
@@ -43,7 +43,13 @@ def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's id and its class, named by the class's least id."""
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op10_near_duplicates": op10_near_duplicates,
     "op4_chat_format": op4_chat_format,
     "op9_top_k": op9_top_k,
     "op6_token_files": op6_token_files,
