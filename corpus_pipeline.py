@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from edispark.llm import rules
+from edispark.llm import mixing, neardup, packing, rules
 from edispark.shipping import stored
 
 
@@ -17,8 +17,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rules.kept_documents(docs, rules.STANDARD)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class: the least id's."""
+    return neardup.representatives(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once at least; smaller sources more often, up to twice and to nine tenths of the largest entropy."""
+    shown = mixing.mixed(docs, mixing.Goal(entropy=0.9, repeats=2.0, budget="cover"))
+    return shown.select("_row.*")
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bins of 2,048 words; passes of one document are copies and so lie in different bins."""
+    return packing.packed(docs, capacity=2048, source_quota=4)
+
+
 STAGES = [
     ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("source_mix", source_mix),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 #: SQL cannot express the sketches of the second stage; tests compare with a brute-force run.

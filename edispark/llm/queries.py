@@ -5,11 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edispark.llm import chat, mixing, neardup, rules, token_files, topk
+from edispark.llm import chat, lm, mixing, neardup, packing, rules, token_files, topk
 from edispark.llm.common import table
 from edispark.shipping import ship
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of 2,048 words with at most four pieces of one source and no two copies."""
+    return packing.packed(table(spark, sf_dir, "documents"), capacity=2048, source_quota=4)
+
+
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text is one text part; conversation -1 holds control strings in both its turns."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -49,6 +58,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_lm_scores": op2_lm_scores,
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op10_near_duplicates": op10_near_duplicates,
     "op4_chat_format": op4_chat_format,
     "op9_top_k": op9_top_k,

@@ -76,7 +76,8 @@ def measured(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
     covered = F.expr("aggregate(transform(_starts, (s, k) -> least(3, coalesce(get(_starts, k + 1), s + 3) - s)), 0L, (a, x) -> a + x)")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumn("_lines", lines)
-    return df.select(
+    # one row from one: the generator keeps a later filter from being pushed below, where it would repeat all of this
+    measures = F.struct(
         F.col("_id").alias(id_col),
         F.col("_n").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
@@ -87,6 +88,7 @@ def measured(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
         F.size("_lines").cast("long").alias("n_lines"),
         *[F.col("_keep")[c].alias(c) for c in keep],
     )
+    return df.select(F.explode_outer(F.array(measures)).alias("_m")).select("_m.*")
 
 
 def _repeated_starts() -> Column:

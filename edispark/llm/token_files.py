@@ -31,7 +31,7 @@ from edispark.shipping import shared_dir, ship
 
 END = 2
 #: Pieces that a worker keeps before it starts anew.
-KEPT_PIECES = 1_500_000
+KEPT_PIECES = 1_200_000
 _PIECE = re.compile(r"[ \t\n\r\x0b\x0c]*[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+")
 #: Single blanks and line ends between words need no pattern to cut at; these do.
 _RUNS = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\x0b", "\x0c")
