@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edispark.llm import chat, lm, mixing, neardup, packing, rules, token_files, topk
+from edispark.llm import chat, html_text, licenses, lm, mixing, neardup, packing, rules, token_files, topk
 from edispark.llm.common import table
 from edispark.shipping import ship
 
@@ -19,6 +19,10 @@ def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.scored(table(spark, sf_dir, "documents"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text is one text part; conversation -1 holds control strings in both its turns."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -27,6 +31,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.formatted_turns(turns, chat.text_parts(F.col("text"))))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.tokenized(table(spark, sf_dir, "documents"), token_files.vocabulary_path("byte_bpe_50k.json"))
 
@@ -58,6 +66,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_license_scan": op3_license_scan,
+    "op5_main_text": op5_main_text,
     "op2_lm_scores": op2_lm_scores,
     "op1_best_fit_packing": op1_best_fit_packing,
     "op10_near_duplicates": op10_near_duplicates,
