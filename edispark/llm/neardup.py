@@ -6,11 +6,12 @@
    keep the full weight 1. Weight is term frequency times that factor.
 2. Every text gets 64 weighted samples in 16 bands of 4. Equal texts become one node.
 3. In a bucket (a band's value) with several nodes, all are first compared with the least node.
-   Where a bucket still spans several groups of linked nodes, further nodes are compared with
-   those outside their group, in rounds of growing size, until no pair of different groups in
-   a bucket is left uncompared. No bucket is capped, and pairs already joined are not made.
+   Where a bucket still spans several groups of linked nodes, a small one is compared pair by pair
+   and a large one with a few more pivots. Large ones that are still divided are dealt to blocks
+   that meet two at a time, and a matrix product compares all their nodes of different groups; only
+   links that join groups leave a task. No bucket is capped, and pairs already joined are not made.
 4. A pair is verified by the weighted Jaccard similarity of its whole texts (0.8 or more); pairs whose
-   samples agree in fewer than 36 of 64 places cannot reach that but with a chance below 0.0001.
+   samples agree in fewer than 40 of 64 places reach that with a chance below 0.0002.
 5. Linked nodes become classes by repeated least labels. A class is named by its least document id.
 
 Defined cases: a null or empty text has no words and is in a class of its own kind only with texts
@@ -36,12 +37,16 @@ from edispark.llm.sampling import samples
 from edispark.shipping import ship, stored
 
 
+#: Buckets of up to so many nodes are compared pair by pair; larger ones with pivots, then in blocks.
+SMALL, PIVOTS, BLOCK = 32, 4, 512
+
+
 @dataclass(frozen=True)
 class Near:
     threshold: float = 0.8
     bands: int = 16
     rows: int = 4
-    agree: int = 36
+    agree: int = 40
     frequent: float = 0.002
     least_idf: float = 0.8
 
@@ -177,16 +182,28 @@ def sketches(docs: DataFrame, text_col: str, id_col: str, weights, how: Near) ->
     return src.mapInArrow(over, "id long, node long, bands array<long>, samples binary")
 
 
+def similarities(texts: list[str], pairs: list[tuple[int, int]], weights: Weights) -> list[float]:
+    """Weighted Jaccard similarity of pairs of places in ``texts``; each text is cut into shingles once."""
+    vectors = []
+    for _, _, data, at in S.parts(pa.array(texts, pa.string())):
+        hashes, times, row_at = S.shingles(data, at)
+        w = weights.of(hashes, times)
+        vectors += [(hashes[x:y], w[x:y], float(w[x:y].sum())) for x, y in zip(row_at, row_at[1:], strict=False)]
+    out = []
+    for i, j in pairs:
+        (ha, wa, ta), (hb, wb, tb) = vectors[i], vectors[j]
+        if not len(ha) or not len(hb):
+            out.append(float(texts[i] == texts[j]))
+            continue
+        spot = np.minimum(np.searchsorted(ha, hb), len(ha) - 1)
+        hit = ha[spot] == hb
+        low = float(np.minimum(wa[spot[hit]], wb[hit]).sum())
+        out.append(low / (ta + tb - low))
+    return out
+
+
 def similarity(one: str, two: str, weights: Weights) -> float:
-    both = []
-    for t in (one, two):
-        _, _, data, at = next(S.parts(pa.array([t])))
-        hashes, times, _ = S.shingles(data, at)
-        both.append((hashes, weights.of(hashes, times)))
-    (ha, wa), (hb, wb) = both
-    common, ia, ib = np.intersect1d(ha, hb, assume_unique=True, return_indices=True)
-    low = np.minimum(wa[ia], wb[ib]).sum()
-    return float(low / (wa.sum() + wb.sum() - low)) if len(ha) and len(hb) else float(one == two)
+    return similarities([one, two], [(0, 1)], weights)[0]
 
 
 def _agreeing(pairs: DataFrame, sketch: DataFrame, how: Near) -> DataFrame:
@@ -207,9 +224,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, how: Near) -> DataFra
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = weights.value
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                keep = pa.array([similarity(x or "", y or "", known) >= how.threshold for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)], pa.bool_())
+            for k in range(0, batch.num_rows, 2048):
+                part = batch.slice(k, 2048)
+                spots: dict[str, int] = {}
+                places = [[spots.setdefault(t or "", len(spots)) for t in part.column(c).to_pylist()] for c in (2, 3)]
+                found = similarities(list(spots), list(zip(*places, strict=True)), known)
+                keep = pa.array([x >= how.threshold for x in found], pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column(0).filter(keep), part.column(1).filter(keep)], ["a", "b"])
 
     one = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
@@ -231,6 +251,98 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
+def _open(placed: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members of the buckets of three nodes or more that span several groups: ``key, node, n, comp``."""
+    labelled = placed.where("n > 2").join(comps, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
+    mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
+    return labelled.join(mixed, "key")
+
+
+def spanning_links(one: pd.DataFrame, two: pd.DataFrame, weights: Weights, threshold: float) -> list[tuple[int, int]]:
+    """Links between rows (node, comp, text) of two blocks at or over the threshold that join different groups.
+
+    All pairs are compared: a shingle that occurs k times counts as k elements of the same weight, so
+    the common weight of all pairs is a matrix product over the elements that both blocks hold.
+    """
+    sides = []
+    for block in (one, two):
+        ids, rows, w, at = [], [], [], 0
+        for _, _, data, offsets in S.parts(pa.array(block["text"].fillna(""), pa.string())):
+            hashes, times, row_at = S.shingles(data, offsets)
+            own = np.repeat(np.arange(at, at + len(row_at) - 1), np.diff(row_at))
+            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            ids.append(S.mix(np.repeat(hashes, times) + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+            rows.append(np.repeat(own, times))
+            w.append(np.repeat(weights.of(hashes, np.ones(len(hashes))), times))
+            at += len(row_at) - 1
+        sides.append((np.concatenate(ids), np.concatenate(rows), np.concatenate(w), at))
+    (ia, ra, wa, na), (ib, rb, wb, nb) = sides
+    both = np.intersect1d(ia, ib)
+    common = np.zeros((na, nb))
+    for k in range(0, len(both), 4096):
+        part = both[k : k + 4096]
+        grids = []
+        for ids, rows, w, n in ((ia, ra, wa, na), (ib, rb, np.ones(len(ib)), nb)):
+            spot = np.minimum(np.searchsorted(part, ids), len(part) - 1)
+            hit = part[spot] == ids
+            grid = np.zeros((n, len(part)), np.float32)
+            grid[rows[hit], spot[hit]] = w[hit]
+            grids.append(grid)
+        common += grids[0] @ grids[1].T
+    whole = np.bincount(ra, wa, na)[:, None] + np.bincount(rb, wb, nb)[None, :] - common
+    ca, cb = one["comp"].to_numpy(), two["comp"].to_numpy()
+    close = (common >= (threshold - 1e-6) * np.maximum(whole, 1e-12)) & (ca[:, None] != cb[None, :])
+    up: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(close):
+        x, y = root(int(ca[i])), root(int(cb[j]))
+        if x != y:
+            up[x] = y
+            out.append((int(one["node"].iloc[i]), int(two["node"].iloc[j])))
+    return out
+
+
+def _block_links(still: DataFrame, texts: DataFrame, weights, how: Near) -> DataFrame:
+    """Links of open buckets, from blocks of about ``BLOCK`` nodes. Blocks of a bucket's largest group do not meet each other."""
+    sizes = still.groupBy("key", "comp").agg(F.count("*").alias("m"))
+    largest = sizes.groupBy("key").agg(F.max_by("comp", F.struct("m", "comp")).alias("g"), F.max("m").alias("mg"), F.sum("m").alias("all"))
+    df = still.select("key", "node", "comp").join(largest, "key").join(texts, "node")
+    big = F.col("comp") == F.col("g")
+    n_big, n_rest = F.ceil(F.col("mg") / BLOCK).cast("int"), F.ceil((F.col("all") - F.col("mg")) / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit(9)), F.when(big, n_big).otherwise(n_rest)).cast("int")
+    df = df.withColumn("own", F.when(big, -1 - own).otherwise(own))
+    # a block of the rest meets the other blocks of the rest, itself, and every block of the largest group (negative)
+    others = F.when(big, F.sequence(F.lit(0), n_rest - 1)).otherwise(F.concat(F.sequence(F.lit(0), n_rest - 1), F.sequence(-n_big, F.lit(-1))))
+    met = df.select("key", "node", "comp", "text", "own", F.explode(others).alias("other"))
+    met = met.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+
+    def over(pdf: pd.DataFrame) -> pd.DataFrame:
+        one = pdf[pdf["own"] == pdf["lo"]]
+        two = pdf[pdf["own"] == pdf["hi"]]
+        links = spanning_links(one, two, weights.value, how.threshold) if len(one) and len(two) else []
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return met.groupBy("key", "lo", "hi").applyInPandas(over, "a long, b long").distinct()
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links: these join components, so only their graph is labelled anew."""
+    own = links
+    for side in ("a", "b"):
+        known = comps.select(F.col("node").alias(side), F.col("comp").alias("_c"))
+        own = own.join(known, side, "left").withColumn(f"c{side}", F.coalesce("_c", side)).drop("_c")
+    heads = components(own.select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b"))
+    new = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct().join(comps, "node", "left_anti").select("node", F.col("node").alias("comp"))
+    up = heads.select(F.col("node").alias("comp"), F.col("comp").alias("_up"))
+    return stored(comps.union(new).join(up, "comp", "left").select("node", F.coalesce("_up", "comp").alias("comp")), "near-labels")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: Near | None = None) -> tuple[DataFrame, DataFrame]:
     """(``id, node, copies`` of every distinct id and text, ``node, comp`` of every node that has links)."""
     how = how or Near()
@@ -256,25 +368,21 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     tried = stored(star, "near-pairs")
     edges = stored(_verified(_agreeing(tried, sketch, how), texts, weights, how), "near-links")
     comps = components(edges)
-    size, low = 16.0, 0.0
-    while True:
-        labelled = placed.where("n > 2").join(comps, "node", "left").select("key", "node", "n", F.coalesce("comp", "node").alias("comp"))
-        mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("key")
-        spot = F.shiftrightunsigned(F.xxhash64("node", F.lit(5)), 1) / F.lit(float(2**63))
-        still = stored(labelled.join(mixed, "key").where(F.col("n") > low).withColumn("spot", spot), "near-open")
-        if still.isEmpty():
-            break
-        # this round's pivots of a bucket: those between low / n and (low + size) / n, so each node is one once
-        pivots = still.where((F.col("spot") * F.col("n") >= low) & (F.col("spot") * F.col("n") < low + size))
-        pairs = pivots.select("key", F.col("node").alias("p"), F.col("comp").alias("pc")).join(still.select("key", "node", "comp"), "key").where("pc <> comp")
-        pairs = pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "near-pairs")
-        found = stored(_verified(_agreeing(pairs, sketch, how), texts, weights, how), "near-links")
-        tried = tried.union(pairs)
-        low, size = low + size, size * 8
+    # buckets of a few nodes: all pairs that still lie in different groups; larger ones: a few more pivots
+    still = _open(placed, comps)
+    spot = F.shiftrightunsigned(F.xxhash64("node", F.lit(5)), 1) / F.lit(float(2**63))
+    pivots = still.where((F.col("n") <= SMALL) | (spot * F.col("n") < PIVOTS)).select("key", F.col("node").alias("p"), F.col("comp").alias("pc"))
+    pairs = pivots.join(still.select("key", "node", "n", "comp"), "key").where((F.col("pc") != F.col("comp")) & ((F.col("n") > SMALL) | (F.col("p") < F.col("node"))))
+    pairs = pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    found = stored(_verified(_agreeing(pairs, sketch, how), texts, weights, how), "near-links")
+    if not found.isEmpty():
+        comps = _joined(comps, found)
+    # larger buckets that still span several groups: block by block, all pairs of different groups
+    still = stored(_open(placed, comps).where(F.col("n") > SMALL), "near-open")
+    if not still.isEmpty():
+        found = stored(_block_links(still, texts, weights, how), "near-links")
         if not found.isEmpty():
-            edges = edges.union(found)
-            comps = components(edges)
+            comps = _joined(comps, found)
     return members, comps
 
 
