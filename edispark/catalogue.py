@@ -1,4 +1,341 @@
-"""Queries over the driver's tables and the SQL that states the same results."""
+"""Queries over the driver's tables and the SQL that states the same results.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+The tables hold no IDocs, so two files are composed from them: one document for each nation with its
+customers and suppliers, and one for each customer with the orders. Each query reads such a file
+(or a variant of it) through the operator it is named after.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from edispark.functions import encode
+from edispark.operators import convert, dictionary, read
+from edispark.plans import compose
+from edispark.shipping import shared_dir
+from edispark.sources.idoc import local, write_idoc
+from edispark.streaming.landing import stream_raw
+
+_MADE: dict[tuple, str] = {}
+
+LAYOUT = [
+    ("E1NAT", 1, "NATION", 25), ("E1NAT", 2, "REGION", 25),
+    ("E1CUS", 1, "CUSTKEY", 10), ("E1CUS", 2, "NAME", 25), ("E1CUS", 3, "SEGMENT", 10), ("E1CUS", 4, "CENTS", 15),
+    ("E1SUP", 1, "SUPPKEY", 10), ("E1SUP", 2, "NAME", 25),
+    ("E1ORD", 1, "ORDERKEY", 12), ("E1ORD", 2, "STATUS", 1), ("E1ORD", 3, "DAY", 8), ("E1ORD", 4, "PRIORITY", 15), ("E1ORD", 5, "CENTS", 15),
+]
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def lengths(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(s, p, n, k, "CHAR") for s, p, n, k in LAYOUT], "segnam string, field_pos int, field_name string, length int, datatype string").coalesce(1)
+
+
+def layout(spark: SparkSession) -> DataFrame:
+    return dictionary.offsets(spark, lengths(spark))
+
+
+def _cents(c: str):
+    return F.round(F.col(c) * 100).cast("long").cast("string")
+
+
+def _values(df: DataFrame, **fields) -> DataFrame:
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("field_name"), v.cast("string").alias("value")) for n, v in fields.items()]))
+    return df.select("doc", "ord", pairs.alias("p")).select("doc", "ord", "p.*")
+
+
+def nation_segments(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Controls, segments and values: a nation, its customers, its suppliers and a tag below each of these."""
+    nation, region = _t(spark, sf_dir, "nation"), _t(spark, sf_dir, "region")
+    n = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select(F.col("n_nationkey").cast("long").alias("doc"), "n_name", "r_name")
+    controls = n.select(
+        "doc", F.lit("EDI_DC40").alias("tabnam"), F.lit("001").alias("mandt"), encode.zero_pad(F.col("doc"), 16).alias("docnum"), F.lit("2").alias("direct"),
+        F.lit("NATIONS01").alias("idoctyp"), F.col("r_name").alias("mestyp"), F.col("n_name").alias("sndprn"),
+    )
+    big = F.lit(1_000_000_000_000)
+    c = _t(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("long").alias("doc"), (big + F.col("c_custkey") * 2).alias("ord"), "*")
+    s = _t(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("long").alias("doc"), (big * 2 + F.col("s_suppkey") * 2).alias("ord"), "*")
+    n = n.withColumn("ord", F.lit(1).cast("long"))
+    segments = [n.select("doc", "ord", F.lit("E1NAT").alias("segnam"), F.lit(1).alias("hlevel")), c.select("doc", "ord", F.lit("E1CUS"), F.lit(2)), s.select("doc", "ord", F.lit("E1SUP"), F.lit(2)), s.select("doc", F.col("ord") + 1, F.lit("E1TAG"), F.lit(3))]
+    values = [
+        _values(n, NATION=F.col("n_name"), REGION=F.col("r_name")),
+        _values(c, CUSTKEY=encode.zero_pad(F.col("c_custkey"), 10), NAME=F.col("c_name"), SEGMENT=F.col("c_mktsegment"), CENTS=_cents("c_acctbal")),
+        _values(s, SUPPKEY=encode.zero_pad(F.col("s_suppkey"), 10), NAME=F.col("s_name")),
+    ]
+    return controls, segments[0].union(segments[1]).union(segments[2]).union(segments[3]), values[0].union(values[1]).union(values[2])
+
+
+def _records(spark: SparkSession, controls: DataFrame, segments: DataFrame, values: DataFrame) -> DataFrame:
+    data = compose.data_records(spark, segments.withColumn("docno", F.col("doc")), values, layout(spark), ["doc"], "001", "docno")
+    return compose.file_order(compose.control_records(controls, ["doc"]), data, ["doc"])
+
+
+def _once(spark: SparkSession, key: tuple, make) -> str:
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _MADE:
+        _MADE[key] = make()
+    return _MADE[key]
+
+
+def nations_file(spark: SparkSession, sf_dir: str, framing: str = "fixed", end: str = ".idoc") -> str:
+    def make() -> str:
+        path = shared_dir(spark, f"nations-{framing}") + end
+        write_idoc(_records(spark, *nation_segments(spark, sf_dir)), path, framing)
+        return path
+
+    return _once(spark, ("nations", sf_dir, framing, end), make)
+
+
+def orders_file(spark: SparkSession, sf_dir: str) -> str:
+    """A document for each customer with a segment for each order."""
+
+    def make() -> str:
+        c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc"), "*")
+        controls = c.select("doc", F.lit("EDI_DC40").alias("tabnam"), F.lit("001").alias("mandt"), encode.zero_pad(F.col("doc"), 16).alias("docnum"), F.lit("ORDERS01").alias("idoctyp"))
+        head = c.select("doc", F.lit(0).cast("long").alias("ord"), "c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+        o = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("ord"), "*")
+        segments = head.select("doc", "ord", F.lit("E1CUS").alias("segnam"), F.lit(1).alias("hlevel")).union(o.select("doc", "ord", F.lit("E1ORD"), F.lit(2)))
+        values = _values(head, CUSTKEY=encode.zero_pad(F.col("c_custkey"), 10), NAME=F.col("c_name"), SEGMENT=F.col("c_mktsegment"), CENTS=_cents("c_acctbal")).union(
+            _values(o, ORDERKEY=encode.zero_pad(F.col("o_orderkey"), 12), STATUS=F.col("o_orderstatus"), DAY=F.date_format("o_orderdate", "yyyyMMdd"), PRIORITY=F.col("o_orderpriority"), CENTS=_cents("o_totalprice"))
+        )
+        # one file a range of customers: the parts of a range-partitioned write hold whole documents
+        data = compose.data_records(spark, segments.withColumn("docno", F.col("doc")), values, layout(spark), ["doc"], "001", "docno")
+        both = compose.control_records(controls, ["doc"]).unionByName(data.withColumn("ord", F.col("ord") + 1))
+        path = shared_dir(spark, "orders")
+        write_idoc(both.repartitionByRange("doc").sortWithinPartitions("doc", "ord").select("raw_record"), path, single=False)
+        return path
+
+    return _once(spark, ("orders", sf_dir), make)
+
+
+def xml_file(spark: SparkSession, sf_dir: str) -> str:
+    def make() -> str:
+        path = shared_dir(spark, "nations-xml")
+        # one value holds a file's whole text, so the text sink writes one file
+        convert.to_xml(spark, nations_file(spark, sf_dir), layout(spark), one_root=True).coalesce(1).write.option("lineSep", "\n").text(path)
+        return path
+
+    return _once(spark, ("xml", sf_dir), make)
+
+
+# ---- queries ----
+
+
+def read_raw_counts(spark, sf_dir):
+    return read.read_raw(spark, nations_file(spark, sf_dir)).groupBy("document_key", "record_type").agg(F.count("*").alias("n"), F.sum(F.octet_length("raw_record")).cast("long").alias("n_bytes"))
+
+
+def read_control(spark, sf_dir):
+    return read.read_control(spark, nations_file(spark, sf_dir)).select("document_key", "tabnam", "mandt", "docnum", "direct", "idoctyp", "mestyp", "sndprn", "serial")
+
+
+def read_data(spark, sf_dir):
+    df = read.read(spark, nations_file(spark, sf_dir))
+    return df.select("document_key", "docnum", "segnum", "segnam", "psgnum", "hlevel", "mandt", F.length("sdata").alias("width"), F.rtrim("sdata").alias("sdata"))
+
+
+def read_segment_customers(spark, sf_dir):
+    return read.read_segment(spark, nations_file(spark, sf_dir), "E1CUS", layout(spark))
+
+
+def read_segment_items(spark, sf_dir):
+    return read.read_segment(spark, orders_file(spark, sf_dir), "E1ORD", layout(spark)).drop("document_key")
+
+
+def read_fields_long(spark, sf_dir):
+    # segments without rules have a null position; 0 stands for it here, as engines differ in how they hand nullable integers on
+    return read.read_fields(spark, nations_file(spark, sf_dir), layout(spark)).withColumn("field_pos", F.coalesce("field_pos", F.lit(0)))
+
+
+def read_fields_known(spark, sf_dir):
+    return read.read_fields(spark, nations_file(spark, sf_dir), layout(spark), include_unknown=False).groupBy("segnam", "field_name").agg(F.count("*").alias("n"), F.max("value").alias("largest"))
+
+
+def dict_offsets(spark, sf_dir):
+    return dictionary.offsets(spark, lengths(spark))
+
+
+BROKEN = [("S1", 1, "A", 0, 10), ("S1", 2, "B", 5, 10), ("S1", 3, "C", 995, 20), ("S2", 1, "D", -1, 0), ("S2", 1, "E", 0, 5)]
+
+
+def dict_validate(spark, sf_dir):
+    return dictionary.validate(spark, spark.createDataFrame(BROKEN, "segnam string, field_pos int, field_name string, offset int, length int").coalesce(1))
+
+
+FIELDS = [("E1CUS", "CUSTKEY", "000001", "000000", "000010", "NUMC", "KEY", "Customer"), ("E1CUS", "NAME", "000002", "000010", "000025", "CHAR", "NAME", "Name")]
+_FIELD_TYPE = "array<struct<SEGMENTTYP:string,FIELDNAME:string,FIELD_POS:string,BYTE_FIRST:string,EXTLEN:string,DATATYPE:string,ROLLNAME:string,DESCRP:string>>"
+
+
+def dict_from_fields(spark, sf_dir):
+    df = spark.createDataFrame([(FIELDS,)], f"fields {_FIELD_TYPE}")
+    return df.select(F.inline(dictionary.from_fields(df, "fields", "CUST01", "", "620")))
+
+
+def dict_transform(spark, sf_dir):
+    df = spark.createDataFrame([(("620",), FIELDS, [("E1CUS", "E1CUS000"), ("E1CUS", "E1CUS001")])], f"PE_HEADER struct<RELEASED:string>, PT_FIELDS {_FIELD_TYPE}, PT_SEGMENTS array<struct<SEGMENTTYP:string,SEGMENTDEF:string>>")
+    return dictionary.dictionary(df, {"PI_IDOCTYP": "CUST01", "PI_CIMTYP": "ZX"})
+
+
+def dict_params(spark, sf_dir):
+    encode.register(spark)
+    return spark.sql("SELECT n_name, p.PI_IDOCTYP AS idoctyp, p.PI_CIMTYP AS cimtyp, p.PI_VERSION AS version FROM (SELECT n_name, sap_idoc_params(n_name) AS p FROM {t})", t=_t(spark, sf_dir, "nation"))
+
+
+def encode_sdata(spark, sf_dir):
+    c = _t(spark, sf_dir, "customer")
+    parts = F.array(F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_mktsegment"))
+    return c.select("c_custkey", F.rtrim(encode.encode_sdata(F.array(*map(F.lit, (0, 10, 20))), F.array(*map(F.lit, (10, 25, 12))), parts)).alias("sdata"))
+
+
+def encode_data_record(spark, sf_dir):
+    s = _t(spark, sf_dir, "supplier")
+    raw = encode.encode_data_record(F.lit("E1SUP"), F.lit("001"), F.col("s_suppkey"), F.col("s_suppkey") % 1_000_000, F.lit(0), F.lit(2), F.col("s_name"))
+    return s.select("s_suppkey", F.octet_length(raw).alias("n_bytes"), F.rtrim(raw.cast("string")).alias("record"))
+
+
+def encode_control(spark, sf_dir):
+    n = _t(spark, sf_dir, "nation")
+    raw = encode.encode_control(F.array(F.lit("EDI_DC40"), F.lit("001"), F.col("n_nationkey").cast("string"), F.col("n_name")))
+    return n.select("n_nationkey", F.octet_length(raw).alias("n_bytes"), F.rtrim(raw.cast("string")).alias("record"))
+
+
+def sql_encoders(spark, sf_dir):
+    encode.register(spark)
+    return spark.sql(
+        "SELECT c_custkey, rtrim(sap_idoc_encode_sdata(array(0L, 10L), array(10L, 25L), array(cast(c_custkey as string), c_name))) AS sdata, "
+        "octet_length(sap_idoc_encode_data_record('E1CUS', '001', c_custkey, 1L, 0L, 1L, c_name)) AS n_bytes, octet_length(sap_idoc_encode_control(array('EDI_DC40'))) AS c_bytes FROM {t}",
+        t=_t(spark, sf_dir, "customer"),
+    )
+
+
+def hierarchy(spark, sf_dir):
+    return read.read(spark, nations_file(spark, sf_dir)).select("document_key", "segnam", F.col("segnum").cast("long").alias("segnum"), F.col("psgnum").cast("long").alias("psgnum"), F.col("hlevel").cast("long").alias("hlevel"))
+
+
+def read_xml(spark, sf_dir):
+    return convert.read_xml(spark, xml_file(spark, sf_dir)).where("segnam <> 'EDI_DC40'")
+
+
+def read_xml_control(spark, sf_dir):
+    return read.read_control(spark, xml_file(spark, sf_dir)).select("document_key", "docnum", "idoctyp", "mestyp", "sndprn")
+
+
+def xml_to_records(spark, sf_dir):
+    """Records that differ from the flat file the XML was made from: none but those of the segment without rules."""
+    back = convert.xml_to_records(spark, xml_file(spark, sf_dir), layout(spark)).select("document_key", "record_index", "record_type", "raw_record")
+    flat = read.read_raw(spark, nations_file(spark, sf_dir)).select("document_key", "record_index", "record_type", "raw_record")
+    same = back.join(flat, ["document_key", "record_index", "record_type", "raw_record"], "left_semi").groupBy("document_key", "record_type").agg(F.count("*").alias("n_same"))
+    return back.groupBy("document_key", "record_type").agg(F.count("*").alias("n")).join(same, ["document_key", "record_type"])
+
+
+def to_xml(spark, sf_dir):
+    df = convert.to_xml(spark, nations_file(spark, sf_dir), layout(spark), by_document=True)
+    return df.select("document_key", F.regexp_count("xml", F.lit("<E1CUS SEGMENT")).cast("long").alias("customers"), F.regexp_count("xml", F.lit("<E1TAG SEGMENT")).cast("long").alias("tags"), F.regexp_extract("xml", "<NATION>([^<]*)</NATION>", 1).alias("nation"))
+
+
+def _framed(framing):
+    def query(spark, sf_dir):
+        df = read.read(spark, nations_file(spark, sf_dir, framing), framing=None)
+        return df.groupBy("document_key", "segnam").agg(F.count("*").alias("n"), F.max(F.rtrim("sdata")).alias("largest"))
+
+    return query
+
+
+def multi_file(spark, sf_dir):
+    paths = [nations_file(spark, sf_dir), nations_file(spark, sf_dir, "lf")]
+    return read.read_control(spark, [*paths, paths[0]]).groupBy("docnum").agg(F.count("*").alias("n"))
+
+
+def filename_column(spark, sf_dir):
+    path = nations_file(spark, sf_dir)
+    return read.read(spark, path, filename=True).groupBy((F.col("filename") == local(path)).alias("own_file"), "segnam").agg(F.count("*").alias("n"))
+
+
+def latin_1(spark, sf_dir):
+    """UTF-8 bytes of an umlaut read as Latin-1 are two characters; read as they are, one."""
+
+    def make() -> str:
+        path = shared_dir(spark, "latin") + ".idoc"
+        n = _t(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("doc"), F.concat(F.lit("Ü"), "n_name").alias("name"))
+        head = n.select("doc", F.lit(0).cast("long").alias("ord"), encode.encode_control(F.array(F.lit("EDI_DC40"))).alias("raw_record"))
+        body = n.select("doc", F.lit(1).cast("long").alias("ord"), encode.encode_data_record(F.lit("E1NAT"), F.lit("001"), F.col("doc"), F.lit(1), F.lit(0), F.lit(1), F.col("name")).alias("raw_record"))
+        write_idoc(compose.file_order(head, body, ["doc"]), path)
+        return path
+
+    path = _once(spark, ("latin", sf_dir), make)
+    one = read.read_segment(spark, path, "E1NAT", layout(spark)).select("document_key", F.col("nation").alias("plain"))
+    two = read.read_segment(spark, path, "E1NAT", layout(spark), encoding="latin-1").select("document_key", F.length("nation").alias("latin_length"))
+    return one.join(two, "document_key")
+
+
+def write_parts(spark, sf_dir):
+    """Every record of the orders file, whichever part holds it."""
+    return read.read_raw(spark, orders_file(spark, sf_dir)).groupBy("record_type").agg(F.count("*").alias("n"), F.sum(F.octet_length("raw_record")).cast("long").alias("n_bytes"))
+
+
+def stream_landing(spark, sf_dir):
+    """Files that land in a folder, read as a stream into a table and counted."""
+    out, folder = shared_dir(spark, "landed"), orders_file(spark, sf_dir)
+    stream = stream_raw(spark, folder).writeStream.format("parquet").option("path", out).option("checkpointLocation", shared_dir(spark, "landing-state"))
+    stream.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).groupBy("record_type").agg(F.count("*").alias("n"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        read_raw_counts, read_control, read_data, read_segment_customers, read_segment_items, read_fields_long, read_fields_known, dict_offsets, dict_validate, dict_from_fields,
+        dict_transform, dict_params, encode_sdata, encode_data_record, encode_control, sql_encoders, hierarchy, read_xml, read_xml_control, xml_to_records, to_xml, multi_file,
+        filename_column, latin_1, write_parts, stream_landing,
+    )
+} | {"framing_lf": _framed("lf"), "framing_crlf": _framed("crlf")}
+
+# ---- SQL ----
+
+_SEGS = """
+with n as (select n_nationkey::bigint as doc, n_name, r_name from nation join region on n_regionkey = r_regionkey),
+seg as (
+  select doc, 0 as kind, 0::bigint as key, 0 as sub, 'E1NAT' as segnam, 1 as hlevel, rpad(n_name, 25, ' ') || rpad(r_name, 25, ' ') as sdata from n
+  union all select c_nationkey, 1, c_custkey, 0, 'E1CUS', 2, lpad(c_custkey::varchar, 10, '0') || rpad(c_name, 25, ' ') || rpad(c_mktsegment, 10, ' ') || rpad(round(c_acctbal * 100)::bigint::varchar, 15, ' ') from customer
+  union all select s_nationkey, 2, s_suppkey, 0, 'E1SUP', 2, lpad(s_suppkey::varchar, 10, '0') || rpad(s_name, 25, ' ') from supplier
+  union all select s_nationkey, 2, s_suppkey, 1, 'E1TAG', 3, '' from supplier),
+num as (select *, row_number() over (partition by doc order by kind, key, sub)::bigint as segnum from seg),
+hier as (select *, case hlevel when 1 then 0 when 2 then 1 else segnum - 1 end::bigint as psgnum, doc + 1 as document_key from num)
+"""
+_DICT_ROWS = ", ".join(f"('{s}', {p}, '{n}', {k})" for s, p, n, k in LAYOUT)
+_DICT = f"d as (select segnam, pos::bigint as field_pos, name as field_name, coalesce(sum(len) over (partition by segnam order by pos rows between unbounded preceding and 1 preceding), 0)::bigint as off, len::bigint as len from (values {_DICT_ROWS}) t(segnam, pos, name, len))"
+_FRAMED = _SEGS + "select document_key, segnam, count(*) as n, max(rtrim(sdata)) as largest from hier group by all"
+ORACLE_SQL = {
+    "read_raw_counts": _SEGS + "select document_key, 'D' as record_type, count(*) as n, (count(*) * 1063)::bigint as n_bytes from hier group by all union all select doc + 1, 'C', 1, 524 from n",
+    "read_control": "select n_nationkey::bigint + 1 as document_key, 'EDI_DC40' as tabnam, '001' as mandt, lpad(n_nationkey::varchar, 16, '0') as docnum, '2' as direct, 'NATIONS01' as idoctyp, r_name as mestyp, substr(n_name, 1, 10) as sndprn, '' as serial from nation join region on n_regionkey = r_regionkey",
+    "read_data": _SEGS + "select document_key, lpad(doc::varchar, 16, '0') as docnum, lpad(segnum::varchar, 6, '0') as segnum, segnam, lpad(psgnum::varchar, 6, '0') as psgnum, lpad(hlevel::varchar, 2, '0') as hlevel, '001' as mandt, 1000::int as width, rtrim(sdata) as sdata from hier",
+    "read_segment_customers": _SEGS + "select document_key, lpad(segnum::varchar, 6, '0') as segnum, lpad(c_custkey::varchar, 10, '0') as custkey, c_name as name, c_mktsegment as segment, round(c_acctbal * 100)::bigint::varchar as cents from hier join customer on segnam = 'E1CUS' and key = c_custkey",
+    "read_segment_items": "select lpad((1 + row_number() over (partition by o_custkey order by o_orderkey))::varchar, 6, '0') as segnum, lpad(o_orderkey::varchar, 12, '0') as orderkey, o_orderstatus as status, strftime(o_orderdate, '%Y%m%d') as day, o_orderpriority as priority, round(o_totalprice * 100)::bigint::varchar as cents from orders",
+    "read_fields_long": _SEGS.rstrip() + f", {_DICT} " + "select document_key, lpad(segnum::varchar, 6, '0') as segnum, lpad(psgnum::varchar, 6, '0') as psgnum, lpad(hlevel::varchar, 2, '0') as hlevel, hier.segnam, coalesce(field_pos, 0)::int as field_pos, field_name, case when field_name is not null then 'CHAR' end as datatype, case when field_name is null then rtrim(sdata) else rtrim(substr(sdata, off + 1, len)) end as value from hier left join d on hier.segnam = d.segnam",
+    "read_fields_known": _SEGS.rstrip() + f", {_DICT} " + "select hier.segnam, field_name, count(*) as n, max(rtrim(substr(sdata, off + 1, len))) as largest from hier join d on hier.segnam = d.segnam group by all",
+    "dict_offsets": f"with {_DICT} select segnam, field_pos, field_name, off as \"offset\", len as length, 'CHAR' as datatype from d",
+    "dict_validate": "select segnam, field_name, \"offset\"::bigint as \"offset\", length::bigint as length, problem from (values ('S1', 'B', 5, 10, 'overlaps the previous field'), ('S1', 'C', 995, 20, 'field exceeds SDATA(1000)'), ('S2', 'D', -1, 0, 'offset<0 or length<=0'), ('S2', 'E', 0, 5, 'duplicate field_pos in segment')) t(segnam, field_name, \"offset\", length, problem)",
+    "dict_from_fields": "select 'CUST01' as idoctyp, '' as cimtyp, '620' as release, 'E1CUS' as segnam, null::varchar as segdef, p::int as field_pos, f as field_name, o::int as \"offset\", l::int as length, t as datatype, e as data_element, x as description, false as mandatory from (values (1, 'CUSTKEY', 0, 10, 'NUMC', 'KEY', 'Customer'), (2, 'NAME', 10, 25, 'CHAR', 'NAME', 'Name')) v(p, f, o, l, t, e, x)",
+    "dict_transform": "select 'CUST01' as idoctyp, 'ZX' as cimtyp, '620' as release, 'E1CUS' as segnam, 'E1CUS000' as segdef, p::int as field_pos, f as field_name, o::int as \"offset\", l::int as length, t as datatype, e as data_element, x as description, false as mandatory from (values (1, 'CUSTKEY', 0, 10, 'NUMC', 'KEY', 'Customer'), (2, 'NAME', 10, 25, 'CHAR', 'NAME', 'Name')) v(p, f, o, l, t, e, x)",
+    "dict_params": "select n_name, n_name as idoctyp, '' as cimtyp, '4' as version from nation",
+    "encode_sdata": "select c_custkey, rtrim(substr(rpad(c_custkey::varchar, 10, ' ') || rpad(c_name, 25, ' '), 1, 20) || rpad(c_mktsegment, 12, ' ') || substr(rpad(c_custkey::varchar, 10, ' ') || rpad(c_name, 25, ' '), 33)) as sdata from customer",
+    "encode_data_record": "select s_suppkey, 1063::int as n_bytes, rtrim(rpad('E1SUP', 30, ' ') || '001' || lpad(s_suppkey::varchar, 16, '0') || lpad((s_suppkey % 1000000)::varchar, 6, '0') || '000000' || '02' || s_name) as record from supplier",
+    "encode_control": "select n_nationkey, 524::int as n_bytes, rtrim(rpad('EDI_DC40', 10, ' ') || '001' || rpad(n_nationkey::varchar, 16, ' ') || substr(n_name, 1, 4)) as record from nation",
+    "sql_encoders": "select c_custkey, rtrim(rpad(c_custkey::varchar, 10, ' ') || rpad(c_name, 25, ' ')) as sdata, 1063::int as n_bytes, 524::int as c_bytes from customer",
+    "hierarchy": _SEGS + "select document_key, segnam, segnum, psgnum, hlevel::bigint as hlevel from hier",
+    "read_xml": _SEGS.rstrip() + f", {_DICT} " + "select document_key, segnum as seq, hier.segnam, hlevel::int as hlevel, coalesce(field_name, '') as field_name, coalesce(rtrim(substr(sdata, off + 1, len)), '') as value from hier left join d on hier.segnam = d.segnam where d.segnam is null or rtrim(substr(sdata, off + 1, len)) <> ''",
+    "read_xml_control": "select n_nationkey::bigint + 1 as document_key, lpad(n_nationkey::varchar, 16, '0') as docnum, 'NATIONS01' as idoctyp, r_name as mestyp, substr(n_name, 1, 10) as sndprn from nation join region on n_regionkey = r_regionkey",
+    "xml_to_records": _SEGS + "select document_key, 'D' as record_type, count(*) as n, count(*) as n_same from hier group by all union all select doc + 1, 'C', 1, 1 from n",
+    "to_xml": _SEGS + "select document_key, count(*) filter (where segnam = 'E1CUS') as customers, count(*) filter (where segnam = 'E1TAG') as tags, max(n_name) as nation from hier join n using (doc) group by document_key",
+    "multi_file": "select lpad(n_nationkey::varchar, 16, '0') as docnum, 3::bigint as n from nation",
+    "filename_column": _SEGS + "select true as own_file, segnam, count(*) as n from hier group by all",
+    "latin_1": "select n_nationkey::bigint + 1 as document_key, 'Ü' || n_name as plain, (length(n_name) + 2)::int as latin_length from nation",
+    "write_parts": "select 'C' as record_type, count(*) as n, (count(*) * 524)::bigint as n_bytes from customer union all select 'D', (select count(*) from customer) + count(*), (((select count(*) from customer) + count(*)) * 1063)::bigint from orders",
+    "stream_landing": "select 'C' as record_type, count(*) as n from customer union all select 'D', (select count(*) from customer) + count(*) from orders",
+    "framing_lf": _FRAMED,
+    "framing_crlf": _FRAMED,
+}
