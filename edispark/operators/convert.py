@@ -3,22 +3,35 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edispark.functions.encode import encode_control, encode_data_record, encode_sdata_bytes
-from edispark.functions.layout import CONTROL_FIELDS, SDATA_LEN, placed, slice_of
+from edispark.functions.layout import CONTROL_FIELDS, CONTROL_LEN, DATA_FIELDS, DATA_LEN, SDATA_LEN, placed, slice_of
 from edispark.operators import dictionary
-from edispark.operators.hierarchy import renumber
-from edispark.operators.read import data_records
+from edispark.operators.read import checked
 from edispark.shipping import ship
 from edispark.sources import xml
-from edispark.sources.idoc import raw_scan, xml_rows
+from edispark.sources.idoc import raw_scan, xml_segments
+
+RULE_LIST = "array<struct<field_pos:bigint,_ord:bigint,field_name:string,offset:bigint,length:bigint>>"
+
+
+def _layout(spark: SparkSession, dict_source) -> DataFrame:
+    """``segnam, rules``: each segment's rules in order."""
+    each = F.struct("field_pos", "_ord", "field_name", "offset", "length")
+    return dictionary.rules(spark, dict_source).groupBy("segnam").agg(F.array_sort(F.collect_list(each)).alias("rules"))
 
 
 def read_xml(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """``document_key, seq, segnam, hlevel, field_name, value``; the control record is seq 0."""
-    return xml_rows(spark, path).select("document_key", "seq", "segnam", "hlevel", "field_name", "value")
+    """``document_key, seq, segnam, hlevel, field_name, value``; the control record is seq 0.
+
+    A segment without fields gives one row with empty name and value.
+    """
+    none = F.array(F.struct(F.lit("").alias("n"), F.lit("").alias("v")))
+    fields = F.when((F.col("seq") > 0) & (F.size("fields") == 0), none).otherwise(F.col("fields"))
+    rows = xml_segments(spark, path).select("document_key", "seq", "segnam", "hlevel", F.explode(fields).alias("f"))
+    return rows.select("document_key", "seq", "segnam", "hlevel", F.col("f.n").alias("field_name"), F.col("f.v").alias("value"))
 
 
 def _value(fields, name):
@@ -27,61 +40,57 @@ def _value(fields, name):
 
 
 def xml_to_records(spark: SparkSession, path: str | list[str], dict_source) -> DataFrame:
-    """``document_key, record_index, record_type, raw_record`` (and ``filename``) of IDoc-XML files."""
-    rows = xml_rows(spark, path)
-    doc = ["filename", "document_key"]
-    pair = F.struct(F.col("field_no"), F.col("field_name").alias("n"), F.col("value").alias("v"))
-    segs = rows.groupBy(*doc, "seq", "segnam", "hlevel").agg(F.array_sort(F.collect_list(pair)).alias("fields"))
-    control = segs.where("seq = 0").select(*doc, "fields")
+    """``document_key, record_index, record_type, raw_record`` (and ``filename``) of IDoc-XML files.
+
+    One pass over the files; the dictionary's rules come in by a join whose side Spark checks for its size.
+    """
+    df = xml_segments(spark, path).join(_layout(spark, dict_source), "segnam", "left")
+    fields = F.col("fields")
     names = F.array(*[F.lit(n) for n, _ in CONTROL_FIELDS])
-    heads = control.select(*doc, F.lit(0).cast("long").alias("seq"), F.lit("C").alias("record_type"), encode_control(F.transform(names, lambda n: _value(F.col("fields"), n))).alias("raw_record"))
-    known = control.select(*doc, F.when(_value(F.col("fields"), F.lit("DOCNUM")) == "", F.lit(0)).otherwise(_value(F.col("fields"), F.lit("DOCNUM")).cast("long")).alias("docnum"), _value(F.col("fields"), F.lit("MANDT")).alias("mandt"))
-    layout = dictionary.rules(spark, dict_source).groupBy("segnam").agg(F.array_sort(F.collect_list(F.struct("field_pos", "_ord", "field_name", "offset", "length"))).alias("rules"))
-    body = renumber(segs.where("seq > 0"), doc, "seq").join(known, doc, "left").join(layout, "segnam", "left")
-    rules = F.coalesce(F.col("rules"), F.array().cast("array<struct<field_pos:bigint,_ord:bigint,field_name:string,offset:bigint,length:bigint>>"))
-    sdata = encode_sdata_bytes(F.transform(rules, lambda r: r["offset"]), F.transform(rules, lambda r: r["length"]), F.transform(rules, lambda r: _value(F.col("fields"), r["field_name"])))
-    data = body.select(*doc, "seq", F.lit("D").alias("record_type"), encode_data_record(F.col("segnam"), F.col("mandt"), F.col("docnum"), F.col("segnum"), F.col("psgnum"), F.col("hlevel"), sdata).alias("raw_record"))
-    # a file's records run on over its documents: each begins after the records of those before it
-    counts = rows.groupBy(*doc).agg((F.max("seq") + 1).alias("n"))
-    starts = counts.withColumn("_at", F.coalesce(F.sum("n").over(Window.partitionBy("filename").orderBy("document_key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
-    # a document without a control record still gets a blank one
-    none = rows.groupBy(*doc).agg(F.min("seq").alias("m")).where("m > 0").select(*doc, F.lit(0).cast("long").alias("seq"), F.lit("C").alias("record_type"), encode_control(F.array().cast("array<string>")).alias("raw_record"))
-    return heads.unionByName(none).unionByName(data).join(starts, doc).select("document_key", (F.col("_at") + F.col("seq")).alias("record_index"), "record_type", "raw_record", "filename")
+    control = encode_control(F.transform(names, lambda n: _value(fields, n)))
+    rules = F.coalesce(F.col("rules"), F.array().cast(RULE_LIST))
+    sdata = encode_sdata_bytes(F.transform(rules, lambda r: r["offset"]), F.transform(rules, lambda r: r["length"]), F.transform(rules, lambda r: _value(fields, r["field_name"])))
+    number = F.when(F.col("docnum") == "", F.lit(0)).otherwise(F.col("docnum").cast("long"))
+    data = encode_data_record(F.col("segnam"), F.col("mandt"), number, F.col("seq"), F.col("psgnum"), F.col("hlevel"), sdata)
+    head = F.col("seq") == 0
+    return df.select(
+        "document_key", (F.col("first_index") + F.col("seq")).alias("record_index"), F.when(head, "C").otherwise("D").alias("record_type"), F.when(head, control).otherwise(data).alias("raw_record"), "filename"
+    )
 
 
 def documents_xml(spark: SparkSession, path: str | list[str], dict_source) -> DataFrame:
     """``filename, document_key, kind, xml``: the root element's name and the IDOC element of each document of flat files."""
     ship(spark)
-    raw = raw_scan(spark, path)
-    control = raw.where("record_type = 'C'").select(
-        "filename", "document_key", "record_index", F.lit("EDI_DC40").alias("segnam"), F.lit(0).alias("level"),
-        F.array(*[F.struct(F.lit(k).cast("long").alias("p"), F.lit(n).alias("n"), F.rtrim(slice_of(F.col("raw_record"), o, w).cast("string")).alias("v")) for k, (n, o, w) in enumerate(placed(CONTROL_FIELDS))]).alias("fields"),
-    )
-    rules = dictionary.rules(spark, dict_source).groupBy("segnam").agg(F.array_sort(F.collect_list(F.struct("field_pos", "_ord", "field_name", "offset", "length"))).alias("rules"))
-    level = F.when(F.trim("hlevel") == "", F.lit(1)).otherwise(F.col("hlevel").try_cast("int"))
+    at = {n: (o, k) for n, o, k in placed(DATA_FIELDS)}
+    head = F.col("record_type") == "C"
+    raw = raw_scan(spark, path).withColumn("_r", checked(F.col("raw_record"), F.when(head, CONTROL_LEN).otherwise(DATA_LEN)))
+    own = F.rtrim(slice_of(F.col("_r"), *at["SEGNAM"]).cast("string"))
+    hlevel = F.trim(slice_of(F.col("_r"), *at["HLEVEL"]).cast("string"))
+    level = F.when(head, 0).when(hlevel == "", 1).otherwise(F.coalesce(hlevel.try_cast("int"), F.lit(1)))
+    df = raw.select("filename", "document_key", "record_index", "_r", head.alias("head"), F.when(head, "EDI_DC40").otherwise(own).alias("segnam"), level.alias("level"))
+    df = df.join(_layout(spark, dict_source), "segnam", "left")
+    control = F.array(*[F.struct(F.lit(n).alias("n"), F.rtrim(slice_of(F.col("_r"), o, w).cast("string")).alias("v")) for n, o, w in placed(CONTROL_FIELDS)])
 
     def cut(r):
         inside = (r["offset"] >= 0) & (r["length"] >= 0) & (r["offset"] + r["length"] <= SDATA_LEN)
-        text = F.rtrim(F.substring(F.col("sdata"), (r["offset"] + 1).cast("int"), r["length"].cast("int")).cast("string"))
-        return F.struct(r["field_pos"].alias("p"), r["field_name"].alias("n"), F.when(inside, text).otherwise(F.lit("")).alias("v"))
+        text = F.rtrim(F.substring(F.col("_r"), (r["offset"] + at["SDATA"][0] + 1).cast("int"), r["length"].cast("int")).cast("string"))
+        return F.struct(r["field_name"].alias("n"), F.when(inside, text).otherwise(F.lit("")).alias("v"))
 
-    data = data_records(raw).join(rules, "segnam", "left").select(
-        "filename", "document_key", "record_index", "segnam", F.coalesce(level, F.lit(1)).alias("level"),
-        F.coalesce(F.transform("rules", cut), F.array().cast("array<struct<p:bigint,n:string,v:string>>")).alias("fields"),
-    )
+    fields = F.when(F.col("head"), control).otherwise(F.transform(F.coalesce("rules", F.array().cast(RULE_LIST)), cut))
 
     def emit(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("record_index")
         doc = xml.Document([], [])
-        for name, lvl, fields in zip(pdf["segnam"], pdf["level"], pdf["fields"], strict=True):
-            pairs = [(f["n"], f["v"] or "") for f in fields]
+        for name, lvl, own_fields in zip(pdf["segnam"], pdf["level"], pdf["fields"], strict=True):
+            pairs = [(f["n"], f["v"] or "") for f in own_fields]
             if lvl == 0:
                 doc.control = pairs
             else:
                 doc.segments.append(xml.Segment(name, int(lvl), pairs))
         return pd.DataFrame({"filename": [pdf["filename"].iloc[0]], "document_key": [pdf["document_key"].iloc[0]], "kind": [xml.kind_of(doc)], "xml": [xml.emit(doc)]})
 
-    return control.unionByName(data).groupBy("filename", "document_key").applyInPandas(emit, "filename string, document_key long, kind string, xml string")
+    rows = df.select("filename", "document_key", "record_index", "segnam", "level", fields.alias("fields"))
+    return rows.groupBy("filename", "document_key").applyInPandas(emit, "filename string, document_key long, kind string, xml string")
 
 
 def to_xml(spark: SparkSession, path: str | list[str], dict_source, by_document: bool = False, one_root: bool = False) -> DataFrame:

@@ -12,7 +12,7 @@ from edispark.sources.idoc import raw_scan
 Paths = str | list[str]
 
 
-def _checked(raw: Column, least: int) -> Column:
+def checked(raw: Column, least: int | Column) -> Column:
     """The record, or an error where a lenient scan has let a short one through."""
     return F.when(F.octet_length(raw) >= least, raw).otherwise(F.raise_error(F.concat(F.lit("record is too short: "), F.octet_length(raw).cast("string"), F.lit(" bytes"))).cast("binary"))
 
@@ -29,7 +29,7 @@ def read_raw(spark: SparkSession, path: Paths, framing: str | None = None, lenie
 def data_records(raw: DataFrame) -> DataFrame:
     """Data records with their header fields as text and ``sdata`` as bytes."""
     at = {n: (o, k) for n, o, k in placed(DATA_FIELDS)}
-    df = raw.where("record_type = 'D'").withColumn("_r", _checked(F.col("raw_record"), DATA_LEN))
+    df = raw.where("record_type = 'D'").withColumn("_r", checked(F.col("raw_record"), DATA_LEN))
     heads = [F.rtrim(slice_of(F.col("_r"), *at[n]).cast("string")).alias(n.lower()) for n in ("DOCNUM", "SEGNUM", "SEGNAM", "PSGNUM", "HLEVEL", "MANDT")]
     return df.select("document_key", "record_index", "filename", *heads, slice_of(F.col("_r"), *at["SDATA"]).alias("sdata"))
 
@@ -41,7 +41,7 @@ def read(spark: SparkSession, path: Paths, framing: str | None = None, lenient:
 
 
 def control_columns(raw: DataFrame, encoding: str | None = None) -> DataFrame:
-    df = raw.where("record_type = 'C'").withColumn("_r", _checked(F.col("raw_record"), CONTROL_LEN))
+    df = raw.where("record_type = 'C'").withColumn("_r", checked(F.col("raw_record"), CONTROL_LEN))
     return df.select("document_key", *[F.rtrim(decoded(slice_of(F.col("_r"), o, k), encoding)).alias(n.lower()) for n, o, k in placed(CONTROL_FIELDS)], "filename")
 
 

@@ -17,10 +17,10 @@ import shutil
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 from edispark.functions.layout import CONTROL_LEN, DATA_LEN, framing_of
@@ -225,21 +225,40 @@ def write_idoc(df: DataFrame, path: str, framing: str = "fixed", validate: bool
     writer.option("layout", "single" if single else "parts").save(path)
 
 
-def xml_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``filename, document_key, seq, segnam, hlevel, field_no, field_name, value`` of IDoc-XML files."""
+XML_SCHEMA = (
+    "filename string, document_key long, first_index long, seq long, segnam string, hlevel int, psgnum long, docnum string, mandt string, "
+    "fields array<struct<n:string,v:string>>"
+)
+
+
+def xml_segments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """A row for each control record (seq 0) and segment of IDoc-XML files, with its fields in order.
+
+    A file is parsed once and as a whole, so its rows also carry what spans a document: the parent's
+    number, the control record's DOCNUM and MANDT, and the file's records before the document.
+    """
     ship(spark)
-    shape = "filename string, document_key long, seq long, segnam string, hlevel int, field_no int, field_name string, value string"
+    pair = pa.list_(pa.struct([("n", pa.string()), ("v", pa.string())]))
+    types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pair)
+
+    def rows_of(path: str, content: bytes) -> Iterator[tuple]:
+        first = 0
+        for k, doc in enumerate(xml.parse(content), 1):
+            head = (local(path), k, first)
+            tail = (xml.lookup(doc.control, "DOCNUM"), xml.lookup(doc.control, "MANDT"))
+            yield (*head, 0, "EDI_DC40", 0, 0, *tail, [{"n": n, "v": v.rstrip(" ")} for n, v in doc.control])
+            latest: dict[int, int] = {}
+            for seq, s in enumerate(doc.segments, 1):
+                latest[s.level] = seq
+                parent = latest.get(s.level - 1, 0) if s.level > 1 else 0
+                yield (*head, seq, s.name, s.level, parent, *tail, [{"n": n, "v": v.rstrip(" ")} for n, v in s.fields])
+            first += 1 + len(doc.segments)
 
     def over(batches):
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = []
-                for k, doc in enumerate(xml.parse(content), 1):
-                    rows += [(local(path), k, 0, "EDI_DC40", 0, j, n, v.rstrip(" ")) for j, (n, v) in enumerate(doc.control)]
-                    for seq, s in enumerate(doc.segments, 1):
-                        rows += [(local(path), k, seq, s.name, s.level, j, n, v.rstrip(" ")) for j, (n, v) in enumerate(s.fields or [("", "")])]
-                if rows:
-                    types = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], [x.split()[0] for x in shape.split(", ")])
-
-    return spark.read.format("binaryFile").load(files_of(spark, paths)).select(F.col("path"), F.col("content")).mapInArrow(over, shape)
+                rows = rows_of(path, content)
+                while part := list(islice(rows, ROWS)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part, strict=True), types, strict=True)], [x.split()[0] for x in XML_SCHEMA.split(", ")])
+
+    return spark.read.format("binaryFile").load(files_of(spark, paths)).select("path", "content").mapInArrow(over, XML_SCHEMA)
