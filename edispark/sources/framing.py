@@ -73,14 +73,39 @@ def _terminated(data: _Chunks, crlf: bool, lenient: bool) -> Iterator[bytes]:
         number += 1
 
 
-def records(chunks: Iterable[bytes], framing: str = "auto", lenient: bool = False) -> Iterator[tuple[int, int, str, bytes]]:
-    """(document_key, record_index, 'C' or 'D', bytes) of a file's records in order."""
+def records(chunks: Iterable[bytes], framing: str = "auto", lenient: bool = False, document: int = 0, first: int = 0) -> Iterator[tuple[int, int, str, bytes]]:
+    """(document_key, record_index, 'C' or 'D', bytes) of a file's records in order.
+
+    ``document`` and ``first`` are the documents and records before the first chunk, for a part of a file.
+    """
     data = _Chunks(chunks)
     if not data.fill(CONTROL_LEN + 2):
         return
     kind = detect(data.held) if framing == "auto" else framing
-    document = 0
-    for index, raw in enumerate(_fixed(data, lenient) if kind == "fixed" else _terminated(data, kind == "crlf", lenient)):
+    for index, raw in enumerate(_fixed(data, lenient) if kind == "fixed" else _terminated(data, kind == "crlf", lenient), first):
         control = is_control(raw)
         document += control
         yield document, index, "C" if control else "D", raw
+
+
+def cuts(file, size: int, framing: str, every: int) -> list[tuple[int, int, int, int]] | None:
+    """Parts of a regular file as (start, stop, documents before, records before), each of about ``every`` bytes.
+
+    Only the heads of records are looked at, since a record's first bytes tell its length. None if the
+    file does not end where a record does: then it is read as a whole, with the usual checks.
+    """
+    end = {"fixed": 0, "lf": 1, "crlf": 2}[framing]
+    out, at, start, document, number = [], 0, 0, 0, 0
+    before = (0, 0)
+    while at < size:
+        if at - start >= every:
+            out.append((start, at, *before))
+            start, before = at, (document, number)
+        file.seek(at)
+        control = is_control(file.read(6))
+        document += control
+        number += 1
+        at += (CONTROL_LEN if control else DATA_LEN) + end
+    if at != size:
+        return None
+    return [*out, (start, size, *before)]

@@ -1,7 +1,7 @@
 """Spark source and sink for IDoc files.
 
 ``spark.read.format("idoc")`` gives ``document_key, record_index, record_type, raw_record, filename``, one task
-for each file, streaming its bytes. ``raw_scan`` picks that for local files; files in another store are read
+for each file, streaming its bytes; ``raw_scan`` has large files read in parts. ``raw_scan`` picks that for local files; files in another store are read
 through Spark's ``binaryFile`` and cut by the same code.
 
 ``df.write.format("idoc")`` takes one binary or string column. Tasks write parts; the commit puts them into one
@@ -11,6 +11,7 @@ time, or leaves them as a folder of files (``layout=parts``), which suits large
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import shutil
@@ -26,11 +27,13 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 from edispark.functions.layout import CONTROL_LEN, DATA_LEN, framing_of
 from edispark.shipping import ship
 from edispark.sources import xml
-from edispark.sources.framing import looks_like_xml, records
+from edispark.sources.framing import cuts, detect, looks_like_xml, records
 
 SCHEMA = "document_key long, record_index long, record_type string, raw_record binary, filename string"
 _NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 CHUNK, ROWS = 1 << 16, 2048
+#: Files over so many bytes are read in parts of about that size.
+SPLIT = 128 << 20
 ENDS = {"fixed": b"", "lf": b"\n", "crlf": b"\r\n"}
 
 
@@ -71,15 +74,43 @@ def file_records(chunks: Iterator[bytes], name: str, framing: str, lenient: bool
     yield from records(all_chunks(), framing, lenient)
 
 
-def _chunks(path: str) -> Iterator[bytes]:
+def _chunks(path: str, start: int = 0, stop: int | None = None) -> Iterator[bytes]:
     with open(local(path), "rb") as f:
-        while block := f.read(CHUNK):
+        f.seek(start)
+        while block := f.read(CHUNK if stop is None else min(CHUNK, stop - f.tell())):
             yield block
 
 
 @dataclass
 class _File(InputPartition):
+    """A file, or the part of one from ``start`` to ``stop`` with what comes before it."""
+
     path: str
+    framing: str
+    start: int = 0
+    stop: int | None = None
+    documents: int = 0
+    records: int = 0
+
+
+def large_files(spark: SparkSession, files: list[str], framing: str) -> dict[str, list]:
+    """Parts of the files over ``SPLIT`` bytes, found by one task for each that looks at the heads of its records."""
+    large = sorted({f for f in files if os.path.getsize(local(f)) > SPLIT})
+    if not large:
+        return {}
+    every = SPLIT
+
+    def over(batches):
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with open(local(path), "rb", buffering=1 << 12) as f:
+                    head = f.read(CONTROL_LEN + 2)
+                    kind = detect(head) if framing == "auto" else framing
+                    found = None if looks_like_xml(head) else cuts(f, os.path.getsize(local(path)), kind, every)
+                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([json.dumps([kind, found])])], ["path", "parts"])
+
+    rows = spark.createDataFrame([(f,) for f in large], "path string").repartition(len(large)).mapInArrow(over, "path string, parts string").collect()
+    return {r["path"]: x for r in rows if (x := json.loads(r["parts"]))[1]}
 
 
 class _Reader(DataSourceReader):
@@ -89,12 +120,21 @@ class _Reader(DataSourceReader):
         self.lenient = options.get("lenient", "false").lower() == "true"
         self.xml_control = options.get("xml", "") == "control"
 
+        self.parts = json.loads(options.get("parts", "{}"))
+
     def partitions(self):
-        return [_File(p) for p in self.files if p]
+        out = []
+        for p in filter(None, self.files):
+            kind, parts = self.parts.get(p, (self.framing, None))
+            out += [_File(p, kind, *x) for x in parts] if parts else [_File(p, self.framing)]
+        return out
 
     def read(self, partition):
-        name = local(partition.path)
-        yield from _batches(file_records(_chunks(partition.path), name, self.framing, self.lenient, self.xml_control), name)
+        p, name = partition, local(partition.path)
+        if p.stop is None:
+            yield from _batches(file_records(_chunks(p.path), name, p.framing, self.lenient, self.xml_control), name)
+        else:
+            yield from _batches(records(_chunks(p.path, p.start, p.stop), p.framing, self.lenient, p.documents, p.records), name)
 
 
 @dataclass
@@ -205,6 +245,8 @@ def raw_scan(spark: SparkSession, paths: str | list[str], framing: str | None =
         register(spark)
         reader = spark.read.format("idoc").option("files", "\n".join(files)).option("lenient", str(lenient).lower())
         reader = reader.option("framing", framing) if framing else reader
+        parts = large_files(spark, files, framing_name)
+        reader = reader.option("parts", json.dumps(parts)) if parts else reader
         return (reader.option("xml", "control") if xml_control else reader).load()
     ship(spark)
 

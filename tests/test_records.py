@@ -220,3 +220,20 @@ def test_view_over_the_source(spark, flight):
     read.read_raw(spark, flight)
     spark.sql(f"CREATE OR REPLACE TEMP VIEW flight_view USING idoc OPTIONS (path '{flight}', framing 'fixed')")
     assert spark.sql("SELECT count(*) FROM flight_view WHERE record_type = 'D'").first()[0] == 2
+
+
+@pytest.mark.parametrize("end", [b"", b"\n", b"\r\n"])
+def test_large_files_are_read_in_parts(spark, tmp_path, monkeypatch, end):
+    from edispark.sources import idoc
+
+    path = tmp_path / "large.idoc"
+    path.write_bytes(b"".join(r + end for r in FLIGHT * 50))
+    whole = [tuple(r) for r in read.read_raw(spark, str(path)).orderBy("record_index").collect()]
+    monkeypatch.setattr(idoc, "SPLIT", 10_000)
+    df = read.read_raw(spark, str(path))
+    assert df.rdd.getNumPartitions() > 5 and [tuple(r) for r in df.orderBy("record_index").collect()] == whole
+    assert whole[-1][:2] == (50, 149)
+    path.write_bytes(b"".join(r + end for r in FLIGHT * 50)[:-700])
+    with pytest.raises(Exception, match="framing|malformed"):
+        read.read_raw(spark, str(path)).collect()
+    assert read.read_raw(spark, str(path), lenient=True).count() == (149 if not end else 150)
