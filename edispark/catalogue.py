@@ -96,7 +96,8 @@ def orders_file(spark: SparkSession, sf_dir: str) -> str:
     def make() -> str:
         c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("doc"), "*")
         controls = c.select("doc", F.lit("EDI_DC40").alias("tabnam"), F.lit("001").alias("mandt"), encode.zero_pad(F.col("doc"), 16).alias("docnum"), F.lit("ORDERS01").alias("idoctyp"))
-        head = c.select("doc", F.lit(0).cast("long").alias("ord"), "c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+        # order keys begin at 0, so the customer's own segment stands before that
+        head = c.select("doc", F.lit(-1).cast("long").alias("ord"), "c_custkey", "c_name", "c_mktsegment", "c_acctbal")
         o = _t(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("ord"), "*")
         segments = head.select("doc", "ord", F.lit("E1CUS").alias("segnam"), F.lit(1).alias("hlevel")).union(o.select("doc", "ord", F.lit("E1ORD"), F.lit(2)))
         values = _values(head, CUSTKEY=encode.zero_pad(F.col("c_custkey"), 10), NAME=F.col("c_name"), SEGMENT=F.col("c_mktsegment"), CENTS=_cents("c_acctbal")).union(
@@ -104,7 +105,7 @@ def orders_file(spark: SparkSession, sf_dir: str) -> str:
         )
         # one file a range of customers: the parts of a range-partitioned write hold whole documents
         data = compose.data_records(spark, segments.withColumn("docno", F.col("doc")), values, layout(spark), ["doc"], "001", "docno")
-        both = compose.control_records(controls, ["doc"]).unionByName(data.withColumn("ord", F.col("ord") + 1))
+        both = compose.control_records(controls, ["doc"]).unionByName(data.withColumn("ord", F.col("ord") + 2))
         path = shared_dir(spark, "orders")
         write_idoc(both.repartitionByRange("doc").sortWithinPartitions("doc", "ord").select("raw_record"), path, single=False)
         return path
