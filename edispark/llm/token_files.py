@@ -39,6 +39,9 @@ _ASCII_OTHERS = ("\x1c", "\x1d", "\x1e", "\x1f")
 _OTHER_SPACES = _ASCII_OTHERS + tuple(map(chr, (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)))
 
 
+_PLAIN_ENDS = frozenset("abcdefghijklmnopqrstuvwxyz.,;:!?")
+
+
 def vocabulary_path(name: str) -> str:
     import public_tokenizers
 
@@ -92,7 +95,12 @@ class Encoder:
 
     def _piece(self, piece: str, keep: bool = True) -> bytes:
         """Ids of a new piece; its parts are kept only where it has several, as words meet many signs."""
-        split = self.pattern.findall(piece)
+        word = piece[1:-1]
+        if word.isalpha() and max(word) < "\u0250" and piece[0] == " " and piece[-1] in _PLAIN_ENDS:
+            # a blank, Latin letters and one sign: the pattern's parts without the pattern
+            split = [piece] if piece[-1].isalpha() else [piece[:-1], piece[-1]]
+        else:
+            split = self.pattern.findall(piece)
         if len(split) == 1:
             got = self.parts.get(piece) or self.pieces.get(piece) or self._merged(piece)
         else:
