@@ -399,7 +399,7 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row of each class, with all columns of ``docs``: the row of the least id."""
     members, comps = near_classes(docs, id_col, text_col, how)
     named = members.join(comps, "node", "left").select("id", "node", "copies", F.coalesce("comp", "node").alias("comp"))
-    chosen = named.groupBy("comp").agg(F.min(F.struct("id", "node", "copies")).alias("x")).select(F.col("x.id").alias("_cid"), F.col("x.node").alias("_cnode"), F.col("x.copies").alias("_copies"))
+    chosen = named.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node", "copies")).alias("x")).select(F.col("x.id").alias("_cid"), F.col("x.node").alias("_cnode"), F.col("x.copies").alias("_copies"))
     cols = docs.columns
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), F.col(id_col).cast("long").alias("_rid"), node_of(F.col(text_col)).alias("_rnode"))
     kept = whole.join(chosen, (F.col("_rnode") == F.col("_cnode")) & F.col("_rid").eqNullSafe(F.col("_cid")))

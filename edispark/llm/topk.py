@@ -10,7 +10,7 @@ Queries are packed into groups of rows; a query group meets a run of blocks in o
 k rows for each query and run leave it. The last merge is a grouped top-k over those few rows.
 
 Defined cases: vectors that are null, hold null or hold non-finite components take no part, nor do
-empty ones; shorter vectors count as padded with zeros; equal scores go to the smaller id; the
+empty ones and rows without an id; shorter vectors count as padded with zeros; equal scores go to the smaller id; the
 query's own id is left out (all rows with that id); scores beyond a long saturate; a table
 without vectors gives no rows.
 """
