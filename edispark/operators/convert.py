@@ -12,7 +12,7 @@ from edispark.operators import dictionary
 from edispark.operators.read import checked
 from edispark.shipping import ship
 from edispark.sources import xml
-from edispark.sources.idoc import raw_scan, xml_segments
+from edispark.sources.idoc import files_of, raw_scan, xml_segments
 
 RULE_LIST = "array<struct<field_pos:bigint,_ord:bigint,field_name:string,offset:bigint,length:bigint>>"
 
@@ -44,7 +44,12 @@ def xml_to_records(spark: SparkSession, path: str | list[str], dict_source) -> D
 
     One pass over the files; the dictionary's rules come in by a join whose side Spark checks for its size.
     """
-    df = xml_segments(spark, path).join(_layout(spark, dict_source), "segnam", "left")
+    files = files_of(spark, path)
+    segments = xml_segments(spark, files)
+    if len(files) < spark.sparkContext.defaultParallelism:
+        # few files are parsed by few tasks; their segments are encoded by all
+        segments = segments.repartition("filename", "document_key", "seq")
+    df = segments.join(_layout(spark, dict_source), "segnam", "left")
     fields = F.col("fields")
     names = F.array(*[F.lit(n) for n, _ in CONTROL_FIELDS])
     control = encode_control(F.transform(names, lambda n: _value(fields, n)))
