@@ -22,7 +22,7 @@ from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 from edispark.functions.layout import CONTROL_LEN, DATA_LEN, framing_of
 from edispark.shipping import ship
@@ -143,7 +143,7 @@ class _Part(WriterCommitMessage):
     path: str
 
 
-class _Writer(DataSourceWriter):
+class _Writer(DataSourceArrowWriter):
     def __init__(self, options, schema, overwrite):
         if len(schema.fields) != 1 or schema.fields[0].dataType.typeName() not in ("binary", "string"):
             raise ValueError("the idoc sink takes exactly one binary or string column")
@@ -167,13 +167,14 @@ class _Writer(DataSourceWriter):
         # attempts of one task write files of their own; only the committed one is used
         path = f"{self.parts}/{number:06d}-{uuid.uuid4().hex}.idoc"
         with open(path, "wb") as f:
-            for row in iterator:
-                if row[0] is None:
-                    continue
-                raw = row[0].encode() if isinstance(row[0], str) else bytes(row[0])
-                if self.validate and len(raw) not in (CONTROL_LEN, DATA_LEN):
-                    raise ValueError(f"record is {len(raw)} bytes; expected {CONTROL_LEN} (control) or {DATA_LEN} (data)")
-                f.write(raw + self.end)
+            for batch in iterator:
+                for raw in batch.column(0).to_pylist():
+                    if raw is None:
+                        continue
+                    raw = raw.encode() if isinstance(raw, str) else raw
+                    if self.validate and len(raw) not in (CONTROL_LEN, DATA_LEN):
+                        raise ValueError(f"record is {len(raw)} bytes; expected {CONTROL_LEN} (control) or {DATA_LEN} (data)")
+                    f.write(raw + self.end)
         return _Part(number, path)
 
     def commit(self, messages):
