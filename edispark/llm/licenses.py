@@ -4,7 +4,8 @@ Every place where a text has a legal term begins candidate blocks, one for each
 longer than it. A block is compressed twice with zstandard, alone and with the template as raw
 dictionary; templates are ranked by the share that the dictionary saves. The best ones are then
 confirmed by wording: block and template are aligned word by word, and the winner is the one with
-the fewest missing or changed words, if these are at most ``tolerance`` of the template's. The differences are kept.
+the fewest missing or changed words, if these are at most ``tolerance`` of the template's; if none
+of them is confirmed, the others follow by rank until one is. The differences are kept.
 
 Defined cases: a null or empty text and one without a legal term give no rows; equal rows give equal
 rows each; blocks that no template is confirmed for give a row with the best template and
@@ -51,6 +52,8 @@ TERMS = r"(?i)\b(?:licen[sc]ed?\b|released\s+under|distributed\s+under|permissio
 _TERM = re.compile(TERMS)
 #: Words before a term that a block also takes, so that a notice may begin before its term.
 LEAD = 12
+#: Templates at the head of a ranking that are always compared word by word.
+FIRST = 5
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
 
 
@@ -107,7 +110,10 @@ class Scanner:
                 ranked.append((-(alone - given) / alone, name, words, block, alone, given))
             ranked.sort(key=lambda x: x[:2])
             tried = []
-            for rank, (saved, name, words, block, alone, given) in enumerate(ranked[:5]):
+            for rank, (saved, name, words, block, alone, given) in enumerate(ranked):
+                # short notices differ in few bytes, so without a confirmed one the ranking is followed to its end
+                if rank >= FIRST and not all(missed for missed, *_ in tried):
+                    break
                 wrong, first, last = self._wording(block, words)
                 row = {"license": name, "bytes_alone": alone, "bytes_given": given, "saved": -saved, "differences": wrong, "n_different": len(wrong), "confirmed": len(wrong) <= self.tolerance * len(words)}
                 if row["confirmed"]:

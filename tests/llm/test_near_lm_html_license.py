@@ -219,3 +219,17 @@ def test_licenses(spark):
     assert set(good[2, "MIT-text"].differences) == {"-software", "+program"} and all(r.bytes_given < r.bytes_alone for r in good.values())
     assert [r.confirmed for r in rows if r.doc_id == 3] == [False]
     assert licenses.scanned(df.where("false")).count() == 0
+
+
+def test_short_notices_are_confirmed_in_any_surroundings():
+    """A notice of a few words saves few bytes, so its rank depends on the words around it; it is found all the same."""
+    scanner = licenses.Scanner()
+    short = {n: t for n, t in licenses.TEMPLATES.items() if len(t.split()) <= 12}
+    rng = np.random.default_rng(3)
+    syllables = "er th ha st on ing ed tion ea wh ble nt".split()
+    for k in range(120):
+        around = [" ".join("".join(rng.choice(syllables, rng.integers(1, 5))) for _ in range(20)) for _ in range(2)]
+        name = list(short)[k % len(short)]
+        text = f"{around[0]}\n{short[name]}\n{around[1]}"
+        found = list(scanner.scan(text))
+        assert [(r["license"], r["confirmed"], text[r["start"] : r["stop"]]) for r in found] == [(name, True, short[name])]
