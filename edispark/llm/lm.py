@@ -81,9 +81,10 @@ class Model:
 def train(codes: np.ndarray, counts: np.ndarray, width: int = 32, steps: int = 800, batch: int = 4096, noise: int = 64, seed: int = 5) -> tuple[np.ndarray, ...]:
     """Vectors by noise-contrastive estimation from counts of (u, v, w) codes.
 
-    Each step draws positions in proportion to their counts. A logistic loss tells the unit that
-    followed from ``noise`` draws of the unit frequencies; with few units the loss of the noise is taken in
-    expectation, which all draws together would approach. Adam updates.
+    All counts are read in whole passes: each step takes up to ``batch`` contexts (u, v) with the counts
+    of every unit that followed them, and passes go on until there are ``steps`` steps at least. A logistic
+    loss tells the units that followed from ``noise`` draws of the unit frequencies; with few units the loss
+    of the noise is taken in expectation, which all draws together would approach. Adam updates.
     """
     rng = np.random.default_rng(seed)
     freq = np.full(UNITS, 0.5)
@@ -93,28 +94,33 @@ def train(codes: np.ndarray, counts: np.ndarray, width: int = 32, steps: int = 8
     par = [rng.normal(0, 0.1, (UNITS + 1, width)).astype(f4), rng.normal(0, 0.1, (UNITS + 1, width)).astype(f4), rng.normal(0, 0.1, (UNITS, width)).astype(f4), np.log(p_noise).astype(f4)]
     if not len(codes):
         return tuple(par)
-    steep = np.cumsum(counts, dtype=float)
+    met, row = np.unique(codes // UNITS, return_inverse=True)
+    batches = -(-len(met) // batch)
+    # share of all counts, by context and unit; at most UNITS squared contexts and those with START
+    share = np.zeros((len(met), UNITS))
+    np.add.at(share, (row, codes % UNITS), counts * (batches / counts.sum()))
+    mass, share = share.sum(axis=1, keepdims=True).astype(f4), share.astype(f4)
     m1, m2 = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par]
     log_k, often = np.log(noise * p_noise).astype(f4), (noise * p_noise).astype(f4)
-    rows = np.arange(batch)
 
-    def spread(places: np.ndarray, n: int) -> np.ndarray:
-        one = np.zeros((batch, n), f4)
-        one[rows, places] = 1
+    def spread(places: np.ndarray) -> np.ndarray:
+        one = np.zeros((len(places), UNITS + 1), f4)
+        one[np.arange(len(places)), places] = 1
         return one.T
 
+    steps = -(-steps // batches) * batches
     for step in range(1, steps + 1):
-        drawn = codes[np.searchsorted(steep, rng.random(batch) * steep[-1], side="right").clip(max=len(codes) - 1)]
-        w, uv = drawn % UNITS, drawn // UNITS
-        u, v = uv // (UNITS + 1), uv % (UNITS + 1)
+        k = (step - 1) % batches
+        if k == 0:
+            order = rng.permutation(len(met))
+        own = order[k::batches]
+        u, v = met[own] // (UNITS + 1), met[own] % (UNITS + 1)
         h = par[0][u] + par[1][v]
         s = np.clip(h @ par[2].T + par[3] - log_k, -30, 30)
         odds = 1 / (1 + np.exp(-s))  # that a unit here is data
-        rise = -odds * often  # of the log-likelihood, by unit: noise, then the unit that followed
-        rise[rows, w] += 1 - odds[rows, w]
-        rise /= batch
+        rise = share[own] * (1 - odds) - mass[own] * odds * often  # of the log-likelihood, by unit: those that followed, then noise
         g_h = rise @ par[2]
-        grad = [spread(u, UNITS + 1) @ g_h, spread(v, UNITS + 1) @ g_h, rise.T @ h, rise.sum(axis=0)]
+        grad = [spread(u) @ g_h, spread(v) @ g_h, rise.T @ h, rise.sum(axis=0)]
         rate = f4(0.03 * (1 - step / (steps + 1)) + 0.001)
         for k, g in enumerate(grad):
             m1[k] = 0.9 * m1[k] + 0.1 * g

@@ -147,6 +147,16 @@ def test_training_learns_what_follows():
     assert list(got) == [(k + 1) % 10 for k in range(10)]
 
 
+def test_training_reads_every_count():
+    """A context that occurs once beside a hundred million others is learned too."""
+    u = np.append(np.arange(10), 40)
+    codes = (u * (lm.UNITS + 1) + u) * lm.UNITS + np.append((u[:10] + 1) % 10, 41)
+    vectors = lm.train(codes, np.append(np.full(10, 10**7), 1))
+    model = lm.Model({}, *vectors, np.zeros(lm.CLASSES), np.zeros(lm.CLASSES), np.zeros(lm.CLASSES))
+    got = model.log_probabilities(u, u).argmax(axis=1)
+    assert list(got) == [*((u[:10] + 1) % 10), 41]
+
+
 @pytest.fixture(scope="module")
 def crf():
     return html_text.default_model()
