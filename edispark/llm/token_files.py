@@ -9,7 +9,8 @@ groups by their metadata.
 Encoding is by the tokenizers library. Its cost is in the merges, and words repeat, so a
 worker keeps the ids of pieces it has met. A text is cut where a character that is no white space
 meets ASCII white space; the vocabulary's own splitting pattern always ends a token there, so the
-ids of the pieces in a row are the ids of the text. Texts with other white space are encoded whole.
+ids of the pieces in a row are the ids of the text. Texts with other white space or with an
+added token of the vocabulary are encoded whole.
 
 Defined cases: a null or empty text is only the end id; rows with the same id are ordered by a hash
 of their texts (equal rows stay as they are); an empty table gives no rows; further input columns
@@ -64,7 +65,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.model = self.tokenizer.model
         made = json.loads(self.tokenizer.to_str())
         kind = made.get("pre_tokenizer") or {}
@@ -127,7 +128,7 @@ class Encoder:
         known, piece = self.pieces.get, self._piece
         after_blank, blank = self.after_blank.get, self._after_blank
         for text in texts:
-            if not self.by_piece or any(c in text for c in (_ASCII_OTHERS if text.isascii() else _OTHER_SPACES)):
+            if not self.by_piece or any(c in text for c in self.added) or any(c in text for c in (_ASCII_OTHERS if text.isascii() else _OTHER_SPACES)):
                 yield self._whole([text])[0]
             elif any(c in text for c in _RUNS):
                 yield b"".join([known(p) or piece(p) for p in _PIECE.findall(text)])

@@ -26,6 +26,19 @@ def test_pieces_encode_like_the_library():
         assert list(got) == e.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_added_tokens_have_the_ids_of_the_plain_call(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(VOCAB)
+    texts = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n b", "<|endoftext|", "\u00a0<|endoftext|> é"]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [87, 220, 50256, 331]
+    out = str(tmp_path / "tokens")
+    token_files.write_tokens(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), out, VOCAB)
+    rows = token_files.read_tokens(spark, out).collect()
+    assert [list(r.ids) for r in sorted(rows, key=lambda r: r.doc_id)] == [[*ids, token_files.END] for ids in want]
+
+
 def test_other_vocabularies_encode_whole_texts():
     e = token_files.Encoder(token_files.vocabulary_path("word_bpe_49k.json"))
     got = array("I")
