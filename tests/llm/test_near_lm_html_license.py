@@ -84,6 +84,17 @@ def test_classes_equal_brute_force(spark):
     assert neardup.classes(empty_documents(spark)).count() == 0
 
 
+def test_filter_before_verification_loses_less_than_banding(spark):
+    how = neardup.Near()
+    lost = sum(math.comb(how.count, k) * how.threshold**k * (1 - how.threshold) ** (how.count - k) for k in range(how.agree))
+    apart = (1 - how.threshold**how.rows) ** how.bands
+    assert lost < 1e-7 and lost + apart < 2.2e-4
+    one = np.arange(64, dtype=np.uint32)
+    sketch = spark.createDataFrame([(n, bytearray(np.where(one < n, one, one + 100 * n).astype(np.uint32).tobytes())) for n in (64, 38, 32, 31)], "node long, samples binary")
+    pairs = spark.createDataFrame([(64, 38), (64, 32), (64, 31)], "a long, b long")
+    assert sorted(r.b for r in neardup._agreeing(pairs, sketch, how).collect()) == [32, 38]
+
+
 def test_blocks_of_large_buckets_lose_no_link(spark, monkeypatch):
     r = random.Random(4)
     base = [f"w{r.randint(0, 9999)}" for _ in range(150)]
