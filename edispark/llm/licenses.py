@@ -1,11 +1,12 @@
 """License notices by conditional compression against templates.
 
-Every place where a text has a legal term begins candidate blocks, one for each template, a little
-longer than it. A block is compressed twice with zstandard, alone and with the template as raw
-dictionary; templates are ranked by the share that the dictionary saves. The best ones are then
+Every place where a text has a legal term or an anchor (a word pair of a template, after normalising)
+begins candidate blocks, one for each template, a little longer than it; a template has one anchor more than
+it may have differences. Anchors give rows only for confirmed notices. A block is compressed twice with zstandard, alone and with the template as raw
+dictionary; templates are ranked by the share that the dictionary saves. They are then
 confirmed by wording: block and template are aligned word by word, and the winner is the one with
-the fewest missing or changed words, if these are at most ``tolerance`` of the template's; if none
-of them is confirmed, the others follow by rank until one is. The differences are kept.
+the fewest missing or changed words, if these are at most ``tolerance`` of the template's. Only templates
+with more words missing than that are not aligned. The differences are kept.
 
 Defined cases: a null or empty text and one without a legal term give no rows; equal rows give equal
 rows each; blocks that no template is confirmed for give a row with the best template and
@@ -16,6 +17,7 @@ columns are ignored; texts are read whole.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -52,8 +54,6 @@ TERMS = r"(?i)\b(?:licen[sc]ed?\b|released\s+under|distributed\s+under|permissio
 _TERM = re.compile(TERMS)
 #: Words before a term that a block also takes, so that a notice may begin before its term.
 LEAD = 12
-#: Templates at the head of a ranking that are always compared word by word.
-FIRST = 5
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
 
 
@@ -61,6 +61,24 @@ def normal(word: str) -> str:
     return _EDGE.sub("", word).lower()
 
 
+def anchors(words: list[str], tolerance: float) -> list[int]:
+    """Places of word pairs of a template, one more than it may have differences; no two share a word, so one is always left."""
+    chosen: list[int] = []
+    for k in sorted(range(len(words) - 1), key=lambda k: (-len(words[k]) - len(words[k + 1]), k)):
+        if all(abs(k - x) > 1 for x in chosen) and len(chosen) <= int(tolerance * len(words)):
+            chosen.append(k)
+    return chosen
+
+
+def places(templates: dict[str, str] = TEMPLATES, tolerance: float = 0.1) -> str:
+    """Pattern of all texts with a candidate: legal terms and anchors, with any signs between an anchor's words."""
+    pairs = set()
+    for text in templates.values():
+        words = [w for w in map(normal, text.split()) if w]
+        pairs |= {tuple(words[k : k + 2]) for k in anchors(words, tolerance)}
+    return TERMS + "|(?iu)(?:" + "|".join(r"\W+".join(re.sub(r"(\W)", r"\\\1", w) for w in p) for p in sorted(pairs)) + ")"
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str] = TEMPLATES, tolerance: float = 0.1, level: int = 3):
         import zstandard
@@ -73,6 +91,10 @@ class Scanner:
             own = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.templates.append((name, words, zstandard.ZstdCompressor(level=level, dict_data=own)))
         self.longest = max(len(w) for _, w, _ in self.templates)
+        self.anchors = {}
+        for _, words, _ in self.templates:
+            for k in anchors(words, tolerance):
+                self.anchors.setdefault((words[k], words[k + 1]), []).append(k + int(tolerance * len(words)))
 
     def _wording(self, block: list[str], words: list[str]) -> tuple[list[str], int, int]:
         """Differences of the template's words from the block, and the block's words that the match spans."""
@@ -89,42 +111,55 @@ class Scanner:
                 wrong += ["+" + w for k, w in enumerate(block[a:b], a) if first <= k < last]
         return wrong, first, last
 
+    def _best(self, spans: list, begin: int, at: int) -> tuple[bool, int, int, dict]:
+        """The best template for a block: whether it is not confirmed, the words of its match, its row."""
+        ranked = []
+        for name, words, with_template in self.templates:
+            block = [s[2] for s in spans[begin : at + len(words) + len(words) // 4 + 2]]
+            raw = " ".join(block).encode()
+            alone, given = len(self.plain.compress(raw)), len(with_template.compress(raw))
+            ranked.append((-(alone - given) / alone, name, words, block, alone, given))
+        ranked.sort(key=lambda x: x[:2])
+        tried = []
+        for rank, (saved, name, words, block, alone, given) in enumerate(ranked):
+            # a template with more words missing than the tolerance cannot be confirmed
+            if rank and (Counter(words) - Counter(block)).total() > self.tolerance * len(words):
+                continue
+            wrong, first, last = self._wording(block, words)
+            row = {"license": name, "bytes_alone": alone, "bytes_given": given, "saved": -saved, "differences": wrong, "n_different": len(wrong), "confirmed": len(wrong) <= self.tolerance * len(words)}
+            if not row["confirmed"]:
+                first, last = 0, len(block)
+            row |= {"start": spans[begin + first][0], "stop": spans[begin + last - 1][1]}
+            tried.append((not row["confirmed"], len(wrong) if row["confirmed"] else 0, rank, begin + first, begin + last, row))
+        missed, _, _, first, last, row = min(tried, key=lambda x: x[:3])
+        return missed, first, last, row
+
     def scan(self, text: str) -> Iterator[dict]:
-        terms = [m.start() for m in _TERM.finditer(text)]
-        if not terms:
-            return
         spans = [(m.start(), m.end(), normal(m[0])) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
         spans = [s for s in spans if s[2]]
-        at, done = 0, -1
-        for term in terms:
+        # places: word, whether a legal term is there, words before it that the block takes
+        places, at = [], 0
+        for term in (m.start() for m in _TERM.finditer(text)):
             while at < len(spans) and spans[at][1] <= term:
                 at += 1
-            if at < done or at >= len(spans):
+            if at < len(spans):
+                places.append((at, 0, LEAD))
+        for k, pair in enumerate(zip(spans, spans[1:])):
+            places += [(k, 1, lead) for lead in self.anchors.get((pair[0][2], pair[1][2]), ())]
+        done, open_places, found = -1, [], []
+        for at, anchor, lead in sorted(set(places)):
+            if at < done:
                 continue
-            begin = max(0, done, at - LEAD)
-            ranked = []
-            for name, words, with_template in self.templates:
-                block = [s[2] for s in spans[begin : at + len(words) + len(words) // 4 + 2]]
-                raw = " ".join(block).encode()
-                alone, given = len(self.plain.compress(raw)), len(with_template.compress(raw))
-                ranked.append((-(alone - given) / alone, name, words, block, alone, given))
-            ranked.sort(key=lambda x: x[:2])
-            tried = []
-            for rank, (saved, name, words, block, alone, given) in enumerate(ranked):
-                # short notices differ in few bytes, so without a confirmed one the ranking is followed to its end
-                if rank >= FIRST and not all(missed for missed, *_ in tried):
-                    break
-                wrong, first, last = self._wording(block, words)
-                row = {"license": name, "bytes_alone": alone, "bytes_given": given, "saved": -saved, "differences": wrong, "n_different": len(wrong), "confirmed": len(wrong) <= self.tolerance * len(words)}
-                if row["confirmed"]:
-                    row |= {"start": spans[begin + first][0], "stop": spans[begin + last - 1][1]}
-                else:
-                    row |= {"start": spans[begin][0], "stop": spans[begin + len(block) - 1][1]}
-                tried.append((not row["confirmed"], len(wrong) if row["confirmed"] else 0, rank, begin + last, row))
-            missed, _, _, last, row = min(tried, key=lambda x: x[:3])
+            begin = max(0, done, at - lead)
+            missed, first, last, row = self._best(spans, begin, at)
             if not missed:
                 done = last
-            yield row
+                found.append((first, last, row))
+            elif not anchor:
+                open_places.append((at, row))
+        inside = [(a, b) for a, b, _ in found]
+        rest = [(at, at, row) for at, row in open_places if not any(a <= at < b for a, b in inside)]
+        yield from (row for *_, row in sorted(found + rest, key=lambda x: x[:2]))
 
 
 COLUMNS = "doc_id long, license string, start long, stop long, bytes_alone int, bytes_given int, saved double, differences array<string>, n_different int, confirmed boolean"
@@ -142,5 +177,5 @@ def scanned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
     # most texts have no legal term and never leave the JVM
-    some = docs.where(F.col(text_col).rlike(TERMS)).select(F.struct(F.col(id_col).cast("long").alias("id")).alias("key"), F.col(text_col).alias("text"))
+    some = docs.where(F.col(text_col).rlike(places())).select(F.struct(F.col(id_col).cast("long").alias("id")).alias("key"), F.col(text_col).alias("text"))
     return some.mapInPandas(over, COLUMNS)

@@ -254,3 +254,13 @@ def test_short_notices_are_confirmed_in_any_surroundings():
         text = f"{around[0]}\n{short[name]}\n{around[1]}"
         found = list(scanner.scan(text))
         assert [(r["license"], r["confirmed"], text[r["start"] : r["stop"]]) for r in found] == [(name, True, short[name])]
+
+
+def test_notices_without_an_unbroken_term(spark):
+    texts = {}
+    for k, (name, cut) in enumerate([("MIT-text", "is hereby"), ("BSD-text", "Redistribution and"), ("ISC-text", "Permission to"), ("Unlicense-text", "unencumbered software")]):
+        a, b = cut.split()
+        texts[k] = (name, "x = 1\n# " + licenses.TEMPLATES[name].replace(cut, f"{a}\n# {b}", 1) + "\ny = 2")
+    texts[9] = ("MIT-text", licenses.TEMPLATES["MIT-text"].replace("hereby", "herewith", 1))
+    df = spark.createDataFrame([(k, t) for k, (_, t) in texts.items()], "doc_id long, text string")
+    assert {(r.doc_id, r.license) for r in licenses.scanned(df).collect() if r.confirmed} == {(k, n) for k, (n, _) in texts.items()}
