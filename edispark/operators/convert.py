@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,25 +82,36 @@ def documents_xml(spark: SparkSession, path: str | list[str], dict_source) -> Da
         return F.struct(r["field_name"].alias("n"), F.when(inside, text).otherwise(F.lit("")).alias("v"))
 
     fields = F.when(F.col("head"), control).otherwise(F.transform(F.coalesce("rules", F.array().cast(RULE_LIST)), cut))
-
-    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("record_index")
-        doc = xml.Document([], [])
-        for name, lvl, own_fields in zip(pdf["segnam"], pdf["level"], pdf["fields"], strict=True):
-            pairs = [(f["n"], f["v"] or "") for f in own_fields]
-            if lvl == 0:
-                doc.control = pairs
+    # each record's own lines are text before any Python sees them; only the ends of segments depend on their neighbours
+    pad = F.repeat(F.lit(" "), F.when(F.col("head"), 6).otherwise(F.lit(6) + F.col("level") * 2).cast("int"))
+    escaped = F.transform(F.filter(fields, lambda f: f["v"] != ""), lambda f: F.concat(pad, F.lit("<"), f["n"], F.lit(">"), _escaped(f["v"]), F.lit("</"), f["n"], F.lit(">\n")))
+    rows = df.select("filename", "document_key", "record_index", "segnam", "level", F.array_join(escaped, "").alias("lines"), F.when(F.col("head"), _value(control, F.lit("IDOCTYP"))).alias("kind"))
+
+    def emit(table: pa.Table) -> pa.Table:
+        table = table.sort_by("record_index")
+        out, stack, kind = [xml.IDOC_HEAD, xml.IDOC_CONTROL_END], xml.OpenSegments(), ""
+        for name, level, lines, k in zip(*(table.column(c).to_pylist() for c in ("segnam", "level", "lines", "kind")), strict=True):
+            if level == 0:
+                out[1], kind = lines + xml.IDOC_CONTROL_END, k
             else:
-                doc.segments.append(xml.Segment(name, int(lvl), pairs))
-        return pd.DataFrame({"filename": [pdf["filename"].iloc[0]], "document_key": [pdf["document_key"].iloc[0]], "kind": [xml.kind_of(doc)], "xml": [xml.emit(doc)]})
+                out += [*stack.leave(level), stack.enter(name, level), lines]
+        out += [*stack.leave(1), xml.IDOC_END]
+        return pa.table({"filename": table.column("filename").slice(0, 1), "document_key": table.column("document_key").slice(0, 1), "kind": [kind or "IDOC"], "xml": ["".join(out)]})
+
+    return rows.groupBy("filename", "document_key").applyInArrow(emit, "filename string, document_key long, kind string, xml string")
 
-    rows = df.select("filename", "document_key", "record_index", "segnam", "level", fields.alias("fields"))
-    return rows.groupBy("filename", "document_key").applyInPandas(emit, "filename string, document_key long, kind string, xml string")
+
+def _escaped(text):
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        text = F.replace(text, F.lit(sign), F.lit(name))
+    return text
 
 
 def to_xml(spark: SparkSession, path: str | list[str], dict_source, by_document: bool = False, one_root: bool = False) -> DataFrame:
     """One row ``xml`` for each file, with one root element for each document as the flat file holds them.
 
+    A file's text is one value, up to 2 GB; of larger files take ``by_document``.
+
     ``by_document`` gives a well-formed text for each document instead, and scales with their number.
     ``one_root`` wraps a file's documents in one element, which makes a text of several well-formed.
     """

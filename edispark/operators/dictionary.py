@@ -6,8 +6,12 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import udtf
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult, OrderingColumn, PartitioningColumn
 
 from edispark.functions.layout import SDATA_LEN
+from edispark.shipping import ship
+from edispark.sources.kinds import struct_of
 
 _NAME = re.compile(r'^[A-Za-z0-9_.$"`]+$')
 
@@ -125,3 +129,79 @@ def dictionary(raw: DataFrame, params: dict[str, str]) -> DataFrame:
     segments = raw.select(F.posexplode("PT_SEGMENTS").alias("p", "s")).groupBy(F.col("s.SEGMENTTYP").alias("segnam")).agg(F.min_by("s.SEGMENTDEF", "p").alias("segdef"))
     out = fields.join(segments, "segnam", "left")
     return out.select("idoctyp", "cimtyp", "release", "segnam", "segdef", "field_pos", "field_name", "offset", "length", "datatype", "data_element", "description", "mandatory").orderBy("segnam", "field_pos")
+
+
+# ---- SQL forms ----
+
+
+def _ordered_by_segment(columns: str) -> AnalyzeResult:
+    return AnalyzeResult(schema=struct_of(columns), partitionBy=[PartitioningColumn("segnam")], orderBy=[OrderingColumn("field_pos")])
+
+
+def _lower(row) -> dict:
+    return {k.lower(): v for k, v in row.asDict().items()}
+
+
+class OffsetsOf:
+    """``SELECT * FROM sap_idoc_dict_offsets(TABLE(fields))``: one segment after another, in any number of tasks."""
+
+    def __init__(self):
+        self.at = 0
+
+    @staticmethod
+    def analyze(rows: AnalyzeArgument) -> AnalyzeResult:
+        return _ordered_by_segment("segnam string, field_pos long, field_name string, offset long, length long, datatype string")
+
+    def eval(self, row):
+        r = _lower(row)
+        n = int(r["length"] or 0)
+        yield r["segnam"] or "", int(r["field_pos"] or 0), r["field_name"] or "", self.at, n, r.get("datatype") or None
+        self.at += n
+
+
+class ProblemsOf:
+    """``SELECT * FROM sap_idoc_dict_validate(TABLE(dictionary))``: a row for each problem."""
+
+    def __init__(self):
+        self.end, self.seen = None, set()
+
+    @staticmethod
+    def analyze(rows: AnalyzeArgument) -> AnalyzeResult:
+        return _ordered_by_segment("segnam string, field_name string, offset long, length long, problem string")
+
+    def eval(self, row):
+        r = _lower(row)
+        o, n, pos = int(r["offset"] or 0), int(r["length"] or 0), int(r["field_pos"] or 0)
+        wrong = [
+            (o < 0 or n <= 0, "offset<0 or length<=0"), (o + n > SDATA_LEN, f"field exceeds SDATA({SDATA_LEN})"),
+            (self.end is not None and self.end >= 0 and o < self.end, "overlaps the previous field"), (pos in self.seen, "duplicate field_pos in segment"),
+        ]
+        for bad, problem in wrong:
+            if bad:
+                yield r["segnam"] or "", r["field_name"] or "", o, n, problem
+        self.end = o + n
+        self.seen.add(pos)
+
+
+def register(spark: SparkSession, prefix: str = "sap_idoc_") -> None:
+    """The dictionary functions for SQL: two table functions and one over a field list (eight strings in the order of the names)."""
+    ship(spark)
+    spark.udtf.register(f"{prefix}dict_offsets", udtf(OffsetsOf))
+    spark.udtf.register(f"{prefix}dict_validate", udtf(ProblemsOf))
+    names = ("SEGMENTTYP", "FIELDNAME", "FIELD_POS", "BYTE_FIRST", "EXTLEN", "DATATYPE", "ROLLNAME", "DESCRP")
+    given = f"f ARRAY<STRUCT<{', '.join(f'{n}: STRING' for n in names)}>>"
+    values = (
+        "'idoctyp', idoctyp, 'cimtyp', cimtyp, 'release', release, 'segnam', x.SEGMENTTYP, 'segdef', cast(null as string), 'field_pos', try_cast(x.FIELD_POS as int), 'field_name', x.FIELDNAME, "
+        "'offset', try_cast(x.BYTE_FIRST as int), 'length', try_cast(x.EXTLEN as int), 'datatype', x.DATATYPE, 'data_element', x.ROLLNAME, 'description', x.DESCRP, 'mandatory', false"
+    )
+    body = f"cast(coalesce(transform(f, x -> named_struct({values})), array()) as array<{DICT_TYPE}>)"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}dict_from_fields({given}, idoctyp STRING, cimtyp STRING, release STRING) RETURNS ARRAY<{DICT_TYPE}> RETURN {body}")
+
+
+def export(types: list[tuple[str, str, DataFrame]], folder: str, form: str = "csv") -> None:
+    """A dictionary for each (basic type, extension, result of its type read; see ``dictionary``) as csv or parquet under ``folder/<type>.dict``."""
+    if form not in ("csv", "parquet"):
+        raise ValueError("the form of an export is csv or parquet")
+    for idoctyp, cimtyp, raw in types:
+        out = dictionary(raw, {"PI_IDOCTYP": idoctyp, "PI_CIMTYP": cimtyp}).coalesce(1).write.mode("overwrite")
+        (out.option("header", True) if form == "csv" else out).format(form).save(f"{folder}/{idoctyp}.dict")

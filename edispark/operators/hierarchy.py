@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Levels that the two-digit level field can hold.
-MAX_LEVEL = 99
 
+def renumber(segments: DataFrame, document: list[str], order: str = "ord", level: str = "hlevel") -> DataFrame:
+    """Adds ``segnum`` (1, 2, ... in a document) and ``psgnum`` (the latest segment one level up; 0 if there is none).
 
-def renumber(segments: DataFrame, document: list[str], order: str = "ord", level: str = "hlevel", max_level: int = 9) -> DataFrame:
-    """Adds ``segnum`` (1, 2, ... in a document) and ``psgnum`` (the latest segment one level up; 0 at level 1 or if none).
-
-    ``max_level`` is the deepest level that can be a parent; one running maximum is kept for each.
+    The rows of a document are dealt to the pairs of levels (k, k + 1) they belong to; in a pair one
+    running maximum over the upper level's numbers finds each child's parent. Every segment belongs to two
+    pairs, so levels have no limit and a document of any depth costs the same. A segment without a level has no parent.
     """
     w = Window.partitionBy(*document).orderBy(order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    df = segments.withColumn("segnum", F.row_number().over(w).cast("long"))
-    latest = F.array(*[F.max(F.when(F.col(level) == k, F.col("segnum"))).over(before) for k in range(1, max_level + 1)])
-    parent = F.when(F.col(level) > 1, F.try_element_at(latest, (F.col(level) - 1).cast("int")))
-    return df.withColumn("psgnum", F.coalesce(parent, F.lit(0)).cast("long"))
+    df = segments.withColumn("segnum", F.row_number().over(w).cast("long")).withColumn("_level", F.col(level).cast("long"))
+    paired = df.withColumn("_pair", F.explode(F.array_distinct(F.array(F.col("_level"), F.col("_level") - 1))))
+    before = Window.partitionBy(*document, "_pair").orderBy("segnum").rowsBetween(Window.unboundedPreceding, -1)
+    parent = F.max(F.when(F.col("_pair") == F.col("_level"), F.col("segnum"))).over(before)
+    found = paired.withColumn("psgnum", F.coalesce(parent, F.lit(0)).cast("long"))
+    return found.where(F.col("_pair").eqNullSafe(F.col("_level") - 1)).drop("_level", "_pair")

@@ -36,7 +36,7 @@ def data_records(raw: DataFrame) -> DataFrame:
 
 def read(spark: SparkSession, path: Paths, framing: str | None = None, lenient: bool | None = False, encoding: str | None = None, filename: bool | None = False) -> DataFrame:
     """``document_key, docnum, segnum, segnam, psgnum, hlevel, mandt, sdata[, filename]``; ``sdata`` keeps its blanks."""
-    df = data_records(raw_scan(spark, path, framing, lenient)).withColumn("sdata", decoded(F.col("sdata"), encoding))
+    df = data_records(raw_scan(spark, path, framing, lenient, only="D")).withColumn("sdata", decoded(F.col("sdata"), encoding))
     return _ends(df, ["document_key", "docnum", "segnum", "segnam", "psgnum", "hlevel", "mandt", "sdata"], filename)
 
 
@@ -47,7 +47,7 @@ def control_columns(raw: DataFrame, encoding: str | None = None) -> DataFrame:
 
 def read_control(spark: SparkSession, path: Paths, framing: str | None = None, lenient: bool | None = False, encoding: str | None = None, filename: bool | None = False) -> DataFrame:
     """``document_key`` and the 36 control fields; flat files and IDoc-XML alike."""
-    df = control_columns(raw_scan(spark, path, framing, lenient, xml_control=True), encoding)
+    df = control_columns(raw_scan(spark, path, framing, lenient, xml_control=True, only="C"), encoding)
     return _ends(df, [c for c in df.columns if c != "filename"], filename)
 
 
@@ -68,7 +68,7 @@ def read_segment(spark: SparkSession, path: Paths, segnam: str, dict_source, fra
         name = (r["field_name"] or "").lower()
         seen[name] = seen.get(name, -1) + 1
         columns.append(F.rtrim(decoded(slice_of(F.col("sdata"), o, n), encoding)).alias(f"{name}_{seen[name]}" if seen[name] else name))
-    df = data_records(raw_scan(spark, path, framing, lenient)).where(F.col("segnam") == segnam)
+    df = data_records(raw_scan(spark, path, framing, lenient, only="D", segnam=segnam)).where(F.col("segnam") == segnam)
     return _ends(df, ["document_key", "segnum", *columns], filename)
 
 
@@ -83,7 +83,7 @@ def read_fields(spark: SparkSession, path: Paths, dict_source, framing: str | No
     first = rules.where(bad).orderBy("segnam", "field_pos").first()
     if first is not None:
         raise ValueError(f"field '{first['field_name']}' offset/length out of SDATA bounds")
-    data = data_records(raw_scan(spark, path, framing, lenient))
+    data = data_records(raw_scan(spark, path, framing, lenient, only="D"))
     both = data.join(rules, "segnam", "left" if keep else "inner")
     known = F.col("_ord").isNotNull()
     cut = F.substring(F.col("sdata"), (F.col("offset") + 1).cast("int"), F.col("length").cast("int"))

@@ -1,60 +1,53 @@
 """Spark source and sink for IDoc files.
 
-``spark.read.format("idoc")`` gives ``document_key, record_index, record_type, raw_record, filename``, one task
-for each file, streaming its bytes; ``raw_scan`` has large files read in parts. ``raw_scan`` picks that for local files; files in another store are read
-through Spark's ``binaryFile`` and cut by the same code.
+``spark.read.format("idoc")`` takes a path, a folder or a glob and gives the rows of its ``kind`` (see ``kinds``;
+records as bytes by default): a task for each file or part of a large one, holding one chunk at a time.
+Paths are local or in a store that Arrow opens (``stores``). ``raw_scan`` resolves paths by Spark's own file
+systems, finds the parts of large files by parallel tasks, and reads other stores through ``binaryFile``.
 
 ``df.write.format("idoc")`` takes one binary or string column. Tasks write parts; the commit puts them into one
 file in the order of the partitions (``layout=single``, after a global ``orderBy``), streaming a block at a
-time, or leaves them as a folder of files (``layout=parts``), which suits large outputs.
+time, or leaves them as a folder of files (``layout=parts``), which suits large outputs. What was there before
+is set aside until the new output is in place.
 """
 
 from __future__ import annotations
 
+import fnmatch
 import json
-import os
 import re
-import shutil
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
 
 import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from edispark.functions.layout import CONTROL_LEN, DATA_LEN, framing_of
 from edispark.shipping import ship
 from edispark.sources import xml
-from edispark.sources.framing import cuts, detect, looks_like_xml, records
-
-SCHEMA = "document_key long, record_index long, record_type string, raw_record binary, filename string"
-_NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
-CHUNK, ROWS = 1 << 16, 2048
-#: Files over so many bytes are read in parts of about that size.
-SPLIT = 128 << 20
+from edispark.sources.framing import FramingError, counted, cuts, detect, line_start, looks_like_xml, records
+from edispark.sources.kinds import RAW as SCHEMA
+from edispark.sources.kinds import Kind, struct_of
+from edispark.sources.stores import local, opened, scheme_of, streams
+
+CHUNK, ROWS = 1 << 18, 2048
+#: Files over so many bytes are read in parts of about that size, smaller where there are cores to spare.
+SPLIT, LEAST_PART = 128 << 20, 8 << 20
+#: A file of another store is one row in Spark up to so many bytes; larger ones are opened by the tasks.
+WHOLE = 512 << 20
 ENDS = {"fixed": b"", "lf": b"\n", "crlf": b"\r\n"}
+_RAW_TYPES = (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string())
+_RAW_NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
-def local(path: str) -> str:
-    return re.sub(r"^file:(//)?(?=/)", "", path)
-
-
-def _batches(found: Iterator[tuple[int, int, str, bytes]], name: str) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string())
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), kinds, strict=True)], _NAMES)
-
-    for r in found:
-        held.append((*r, name))
-        if len(held) == ROWS:
-            yield out()
-            held.clear()
-    if held:
-        yield out()
+def _batches(rows: Iterator[tuple], types=_RAW_TYPES, names=_RAW_NAMES) -> Iterator[pa.RecordBatch]:
+    while held := list(islice(rows, ROWS)):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held, strict=True), types, strict=True)], list(names))
 
 
 def file_records(chunks: Iterator[bytes], name: str, framing: str, lenient: bool, xml_control: bool) -> Iterator[tuple[int, int, str, bytes]]:
@@ -75,12 +68,21 @@ def file_records(chunks: Iterator[bytes], name: str, framing: str, lenient: bool
 
 
 def _chunks(path: str, start: int = 0, stop: int | None = None) -> Iterator[bytes]:
-    with open(local(path), "rb") as f:
+    store, own = opened(path)
+    with store.open_input_file(own) as f:
         f.seek(start)
-        while block := f.read(CHUNK if stop is None else min(CHUNK, stop - f.tell())):
+        left = None if stop is None else stop - start
+        while (left is None or left > 0) and (block := f.read(CHUNK if left is None else min(CHUNK, left))):
+            left = left if left is None else left - len(block)
             yield block
 
 
+def _pieces(content: pa.Scalar) -> Iterator[bytes]:
+    """A file that came as one value, in chunks."""
+    raw = content.as_buffer()
+    return (raw.slice(a, min(CHUNK, raw.size - a)).to_pybytes() for a in range(0, raw.size, CHUNK))
+
+
 @dataclass
 class _File(InputPartition):
     """A file, or the part of one from ``start`` to ``stop`` with what comes before it."""
@@ -93,54 +95,154 @@ class _File(InputPartition):
     records: int = 0
 
 
-def large_files(spark: SparkSession, files: list[str], framing: str) -> dict[str, list]:
-    """Parts of the files over ``SPLIT`` bytes, found by one task for each that looks at the heads of its records."""
-    large = sorted({f for f in files if os.path.getsize(local(f)) > SPLIT})
-    if not large:
-        return {}
-    every = SPLIT
+def _job(spark: SparkSession, what: list, one) -> list:
+    """``one`` of each item, by a task each."""
 
     def over(batches):
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                with open(local(path), "rb", buffering=1 << 12) as f:
-                    head = f.read(CONTROL_LEN + 2)
-                    kind = detect(head) if framing == "auto" else framing
-                    found = None if looks_like_xml(head) else cuts(f, os.path.getsize(local(path)), kind, every)
-                yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([json.dumps([kind, found])])], ["path", "parts"])
+            for item in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([item]), pa.array([json.dumps(one(json.loads(item)))])], ["item", "found"])
 
-    rows = spark.createDataFrame([(f,) for f in large], "path string").repartition(len(large)).mapInArrow(over, "path string, parts string").collect()
-    return {r["path"]: x for r in rows if (x := json.loads(r["parts"]))[1]}
+    rows = spark.createDataFrame([(json.dumps(x),) for x in what], "item string").repartition(len(what)).mapInArrow(over, "item string, found string").collect()
+    found = {r["item"]: json.loads(r["found"]) for r in rows}
+    return [found[json.dumps(x)] for x in what]
+
+
+def large_files(spark: SparkSession, sizes: dict[str, int], framing: str, lenient: bool) -> dict[str, list]:
+    """(framing, parts) of the large ones among files of the given sizes.
+
+    Files without line ends are walked by the heads of their records, a task for each file; files with line
+    ends are cut at line starts and their parts counted, a task for each part.
+    """
+    every = {f: max(LEAST_PART, min(SPLIT, -(-n // spark.sparkContext.defaultParallelism))) for f, n in sizes.items()}
+    large = sorted(f for f, n in sizes.items() if n > 2 * every[f] or n > SPLIT)
+    if not large:
+        return {}
+
+    def heads(item):
+        path, size, step = item
+        store, own = opened(path)
+        with store.open_input_file(own) as f:
+            head = f.read(CONTROL_LEN + 2)
+            kind = detect(head) if framing == "auto" else framing
+            if looks_like_xml(head):
+                return kind, None
+            if kind == "fixed":
+                return kind, cuts(f, size, step)
+            starts = sorted({line_start(f, at, size) for at in range(0, size, step)} - {size})
+            return kind, list(zip(starts, [*starts[1:], size], strict=True))
+
+    def count(item):
+        path, kind, start, stop = item
+        try:
+            return counted(_chunks(path, start, stop), kind, lenient)
+        except FramingError:
+            return None
+
+    out = dict(zip(large, _job(spark, [[f, sizes[f], every[f]] for f in large], heads), strict=True))
+    out = {f: x for f, x in out.items() if x[1]}
+    lines = [[f, kind, a, b] for f, (kind, parts) in out.items() if kind != "fixed" for a, b in parts]
+    if lines:
+        found = _job(spark, lines, count)
+        for f in {x[0] for x in lines}:
+            parts, documents, number = [], 0, 0
+            for (_, _, a, b), got in ((x, y) for x, y in zip(lines, found, strict=True) if x[0] == f):
+                if got is None:
+                    # a malformed record: the file is read as a whole and says which
+                    parts = None
+                    break
+                parts.append((a, b, documents, number))
+                documents, number = documents + got[0], number + got[1]
+                if not got[2]:
+                    # a lenient scan ends in this part, so it does not see the others
+                    break
+            out[f] = (out[f][0], parts)
+    return {f: list(x) for f, x in out.items() if x[1]}
+
+
+def _braces(pattern: str) -> list[str]:
+    """A glob's alternatives in braces, as patterns without them."""
+    found = re.search(r"\{([^{}]*)\}", pattern)
+    return [pattern] if not found else [y for x in found[1].split(",") for y in _braces(pattern[: found.start()] + x + pattern[found.end() :])]
+
+
+def listed(path: str) -> list[str]:
+    """The files of a path, a folder or a glob, sorted."""
+    out = []
+    for one in _braces(path):
+        store, own = opened(one)
+        prefix = one[: len(one) - len(own)]
+        if not re.search(r"[*?\[]", own):
+            info = store.get_file_info(own)
+            if info.type == arrow_fs.FileType.NotFound:
+                raise FileNotFoundError(f"cannot open '{one}': no such file")
+            found = [info] if info.is_file else store.get_file_info(arrow_fs.FileSelector(own))
+        else:
+            # every level of the pattern is listed by itself
+            fixed, *levels = re.split(r"/(?=[^/]*[*?\[])", own)
+            tops = [fixed or "/"]
+            for k, level in enumerate(levels):
+                name, *rest = level.split("/")
+                inner = [x for t in tops for x in store.get_file_info(arrow_fs.FileSelector(t, allow_not_found=True)) if fnmatch.fnmatchcase(x.base_name, name)]
+                tops = ["/".join([x.path, *rest]) for x in inner]
+            found = [x for t in tops for x in store.get_file_info([t]) if x.type != arrow_fs.FileType.NotFound]
+            found = [y for x in found for y in ([x] if x.is_file else store.get_file_info(arrow_fs.FileSelector(x.path)))]
+        out += [prefix + x.path for x in found if x.is_file and not x.base_name.startswith(("_", "."))]
+    if not out:
+        if re.search(r"[*?\[{]", path):
+            raise FileNotFoundError(f"no files match the pattern '{path}'")
+        return []
+    return sorted(out)
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options):
-        self.files = options.get("files", options.get("path", "")).split("\n")
+        self.kind = Kind(options)
+        self.given = [x for x in options.get("files", "").split("\n") if x]
+        self.paths = options.get("path", "").split("\n")
         self.framing = framing_of(options.get("framing"))
         self.lenient = options.get("lenient", "false").lower() == "true"
-        self.xml_control = options.get("xml", "") == "control"
-
+        self.xml_control = options.get("xml", "") == "control" or self.kind.name == "control"
         self.parts = json.loads(options.get("parts", "{}"))
+        arrow = to_arrow_schema(struct_of(self.kind.schema()))
+        self.names, self.types = arrow.names, arrow.types
 
     def partitions(self):
         out = []
-        for p in filter(None, self.files):
-            kind, parts = self.parts.get(p, (self.framing, None))
+        for p in self.given or sorted(f for path in self.paths if path for f in listed(path)):
+            kind, parts = self.parts.get(p) or self._walked(p)
             out += [_File(p, kind, *x) for x in parts] if parts else [_File(p, self.framing)]
         return out
 
+    def _walked(self, path):
+        """Parts of a large file without line ends; files that ``raw_scan`` has looked at are not looked at again."""
+        if self.given or self.kind.name in ("xml", "records"):
+            return self.framing, None
+        store, own = opened(path)
+        size = store.get_file_info(own).size
+        if size <= SPLIT:
+            return self.framing, None
+        with store.open_input_file(own) as f:
+            head = f.read(CONTROL_LEN + 2)
+            kind = detect(head) if self.framing == "auto" else self.framing
+            return kind, cuts(f, size, SPLIT) if kind == "fixed" and not looks_like_xml(head) else None
+
     def read(self, partition):
         p, name = partition, local(partition.path)
-        if p.stop is None:
-            yield from _batches(file_records(_chunks(p.path), name, p.framing, self.lenient, self.xml_control), name)
+        if self.kind.name in ("xml", "records"):
+            rows = self.kind.xml_rows(b"".join(_chunks(p.path)), name)
+        elif p.stop is None:
+            rows = self.kind.rows(file_records(_chunks(p.path), name, p.framing, self.lenient, self.xml_control), name)
         else:
-            yield from _batches(records(_chunks(p.path, p.start, p.stop), p.framing, self.lenient, p.documents, p.records), name)
+            rows = self.kind.rows(records(_chunks(p.path, p.start, p.stop), p.framing, self.lenient, p.documents, p.records), name)
+        yield from _batches(rows, self.types, self.names)
 
 
 @dataclass
 class _Part(WriterCommitMessage):
     number: int
     path: str
+    size: int
 
 
 class _Writer(DataSourceArrowWriter):
@@ -150,23 +252,25 @@ class _Writer(DataSourceArrowWriter):
         known = {"path", "framing", "validate", "layout"}
         if unknown := set(options) - known:
             raise ValueError(f"unknown option for the idoc sink: {', '.join(sorted(unknown))}")
-        self.path = local(options["path"])
+        self.uri = options["path"].rstrip("/")
+        store, self.path = opened(self.uri)
         self.end = ENDS[framing_of(options.get("framing", "fixed"))]
         self.validate = str(options.get("validate", "true")).lower() in ("true", "")
         self.single = options.get("layout", "single") == "single"
-        self.overwrite = overwrite
         self.parts = f"{self.path}._parts-{uuid.uuid4().hex}"
-        if not overwrite and os.path.exists(self.path):
+        if not overwrite and store.get_file_info(self.path).type != arrow_fs.FileType.NotFound:
             raise FileExistsError(f"{self.path} exists")
 
     def write(self, iterator):
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId()
-        os.makedirs(self.parts, exist_ok=True)
+        store, _ = opened(self.uri)
+        store.create_dir(self.parts, recursive=True)
         # attempts of one task write files of their own; only the committed one is used
         path = f"{self.parts}/{number:06d}-{uuid.uuid4().hex}.idoc"
-        with open(path, "wb") as f:
+        size = 0
+        with store.open_output_stream(path, compression=None, buffer_size=1 << 20) as f:
             for batch in iterator:
                 for raw in batch.column(0).to_pylist():
                     if raw is None:
@@ -175,28 +279,55 @@ class _Writer(DataSourceArrowWriter):
                     if self.validate and len(raw) not in (CONTROL_LEN, DATA_LEN):
                         raise ValueError(f"record is {len(raw)} bytes; expected {CONTROL_LEN} (control) or {DATA_LEN} (data)")
                     f.write(raw + self.end)
-        return _Part(number, path)
+                    size += len(raw) + len(self.end)
+        return _Part(number, path, size)
 
     def commit(self, messages):
+        store, _ = opened(self.uri)
         parts = sorted((m for m in messages if m is not None), key=lambda m: m.number)
-        new = f"{self.path}._new-{uuid.uuid4().hex}"
+        new, old = (f"{self.path}._{x}-{uuid.uuid4().hex}" for x in ("new", "old"))
         if self.single:
-            with open(new, "wb") as out:
+            with store.open_output_stream(new, compression=None, buffer_size=1 << 20) as out:
                 for p in parts:
-                    with open(p.path, "rb") as f:
-                        shutil.copyfileobj(f, out, 1 << 20)
+                    with store.open_input_stream(p.path, compression=None) as f:
+                        while block := f.read(1 << 20):
+                            out.write(block)
         else:
-            os.makedirs(new)
+            store.create_dir(new)
             for p in parts:
-                if os.path.getsize(p.path):
-                    os.replace(p.path, f"{new}/part-{p.number:06d}.idoc")
-        if os.path.isdir(self.path):
-            shutil.rmtree(self.path)
-        os.replace(new, self.path)
-        shutil.rmtree(self.parts, ignore_errors=True)
+                if p.size:
+                    store.move(p.path, f"{new}/part-{p.number:06d}.idoc")
+        before = store.get_file_info(self.path).type
+        if before != arrow_fs.FileType.NotFound:
+            _moved(store, self.path, old)
+        _moved(store, new, self.path)
+        if before != arrow_fs.FileType.NotFound:
+            _removed(store, old)
+        _removed(store, self.parts)
 
     def abort(self, messages):
-        shutil.rmtree(self.parts, ignore_errors=True)
+        _removed(opened(self.uri)[0], self.parts)
+
+
+def _moved(store: arrow_fs.FileSystem, one: str, two: str) -> None:
+    """Rename; where a store cannot rename folders, file by file."""
+    try:
+        store.move(one, two)
+    except (OSError, NotImplementedError):
+        if store.get_file_info(one).type != arrow_fs.FileType.Directory:
+            raise
+        store.create_dir(two)
+        for f in store.get_file_info(arrow_fs.FileSelector(one)):
+            store.move(f.path, f"{two}/{f.base_name}")
+        store.delete_dir(one)
+
+
+def _removed(store: arrow_fs.FileSystem, path: str) -> None:
+    kind = store.get_file_info(path).type
+    if kind == arrow_fs.FileType.Directory:
+        store.delete_dir(path)
+    elif kind == arrow_fs.FileType.File:
+        store.delete_file(path)
 
 
 class IdocSource(DataSource):
@@ -205,7 +336,7 @@ class IdocSource(DataSource):
         return "idoc"
 
     def schema(self):
-        return SCHEMA
+        return Kind(self.options).schema()
 
     def reader(self, schema):
         return _Reader(self.options)
@@ -219,50 +350,67 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(IdocSource)
 
 
-def files_of(spark: SparkSession, paths: str | list[str]) -> list[str]:
-    """Paths and globs resolved by Spark's file systems, sorted, with repeated ones kept."""
+def sized_files(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, int]]:
+    """Files of paths, folders and globs with their sizes, by Spark's file systems, sorted, with repeated ones kept."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     out = []
     for p in [paths] if isinstance(paths, str) else paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         fs = path.getFileSystem(conf)
-        glob = bool(re.search(r"[*?\[{]", p))
         found = fs.globStatus(path)
         if not found:
+            glob = bool(re.search(r"[*?\[{]", p))
             raise FileNotFoundError(f"no files match the pattern '{p}'" if glob else f"cannot open '{p}': no such file")
         for status in found:
-            if status.isDirectory():
-                out += [str(x.getPath().toString()) for x in fs.listStatus(status.getPath()) if not x.getPath().getName().startswith(("_", "."))]
-            else:
-                out.append(str(status.getPath().toString()))
+            inner = [x for x in fs.listStatus(status.getPath()) if x.isFile() and not x.getPath().getName().startswith(("_", "."))] if status.isDirectory() else [status]
+            out += [(x.getPath().toString(), x.getLen()) for x in inner]
     return sorted(out)
 
 
-def raw_scan(spark: SparkSession, paths: str | list[str], framing: str | None = None, lenient: bool | None = False, xml_control: bool = False) -> DataFrame:
-    """``document_key, record_index, record_type, raw_record, filename`` of all files."""
+def files_of(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    return [f for f, _ in sized_files(spark, paths)]
+
+
+def raw_scan(spark: SparkSession, paths: str | list[str], framing: str | None = None, lenient: bool | None = False, xml_control: bool = False, only: str = "", segnam: str | None = None) -> DataFrame:
+    """``document_key, record_index, record_type, raw_record, filename`` of all files.
+
+    ``only`` ('C' or 'D') and ``segnam`` leave out other records where they are cut; numbers count all.
+    """
     framing_name, lenient = framing_of(framing), bool(lenient)
-    files = files_of(spark, paths)
-    if all(re.match(r"(file:)?/", f) for f in files):
+    sized = sized_files(spark, paths)
+    files = [f for f, _ in sized]
+    options = {"only": only} | ({"segnam": segnam} if segnam else {})
+    if all(scheme_of(f) == "file" or (streams(f) and n > WHOLE) for f, n in sized):
         register(spark)
-        reader = spark.read.format("idoc").option("files", "\n".join(files)).option("lenient", str(lenient).lower())
-        reader = reader.option("framing", framing) if framing else reader
-        parts = large_files(spark, files, framing_name)
-        reader = reader.option("parts", json.dumps(parts)) if parts else reader
-        return (reader.option("xml", "control") if xml_control else reader).load()
+        parts = large_files(spark, dict(sized), framing_name, lenient)
+        options |= {"files": "\n".join(files), "lenient": str(lenient).lower(), "parts": json.dumps(parts)} | ({"framing": framing} if framing else {}) | ({"xml": "control"} if xml_control else {})
+        return spark.read.format("idoc").options(**options).load()
+    if large := [f for f, n in sized if n > WHOLE]:
+        raise ValueError(f"{large[0]} is over {WHOLE >> 20} MB and in a store that tasks cannot open in parts, or beside files that they cannot: read it by itself or copy it")
     ship(spark)
+    kind = Kind(options)
+    return spark.read.format("binaryFile").load(files).select("path", "content").mapInArrow(cut_files(kind, framing_name, lenient, xml_control), SCHEMA)
+
+
+def cut_files(kind: Kind, framing: str, lenient: bool, xml_control: bool):
+    """For ``mapInArrow``: the records of files that come whole as (path, content)."""
 
     def cut(batches):
         for batch in batches:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = content.as_buffer()
-                pieces = (raw.slice(a, min(CHUNK, raw.size - a)).to_pybytes() for a in range(0, raw.size, CHUNK))
-                yield from _batches(file_records(pieces, path, framing_name, lenient, xml_control), path)
+                name = local(path)
+                yield from _batches(kind.rows(file_records(_pieces(content), name, framing, lenient, xml_control), name))
 
-    return spark.read.format("binaryFile").load(files).select("path", "content").mapInArrow(cut, SCHEMA)
+    return cut
 
 
 def write_idoc(df: DataFrame, path: str, framing: str = "fixed", validate: bool = True, single: bool = True) -> None:
-    """Write the only column of ``df``; order it first if the order matters."""
+    """Write the only column of ``df``; order it first if the order matters.
+
+    ``single`` copies all parts through one process into one file: right for files that are handed on;
+    a large output is better left as a folder of parts.
+    """
+    opened(path)  # a store that tasks cannot write to is refused before any work
     register(df.sparkSession)
     writer = df.write.format("idoc").mode("overwrite").option("framing", framing).option("validate", str(validate).lower())
     writer.option("layout", "single" if single else "parts").save(path)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from xml.parsers import expat
 
-from edispark.functions.layout import CONTROL_FIELDS
+from edispark.functions.layout import CONTROL_FIELDS, SDATA_LEN
 
 
 class XmlError(ValueError):
@@ -67,14 +68,14 @@ def _own_text(e: Element) -> str:
     return e.text or ""
 
 
-def _collect(e: Element, level: int, out: list[Segment]) -> None:
-    mine = Segment(e.name, level, [])
-    out.append(mine)
-    for child in e.children:
-        if child.segment or child.children:
-            _collect(child, level + 1, out)
-        else:
-            mine.fields.append((child.name, _own_text(child)))
+def _collect(top: Element, out: list[Segment]) -> None:
+    """The segments of an element and those in it, in document order, to any depth."""
+    waiting = [(top, 1)]
+    while waiting:
+        e, level = waiting.pop()
+        inner = [c for c in e.children if c.segment or c.children]
+        out.append(Segment(e.name, level, [(c.name, _own_text(c)) for c in e.children if not (c.segment or c.children)]))
+        waiting += [(c, level + 1) for c in reversed(inner)]
 
 
 def parse(raw: bytes) -> list[Document]:
@@ -90,7 +91,7 @@ def parse(raw: bytes) -> list[Document]:
             if child.name.startswith("EDI_DC"):
                 doc.control = [(f.name, _own_text(f)) for f in child.children]
             else:
-                _collect(child, 1, doc.segments)
+                _collect(child, doc.segments)
         if not doc.control and not doc.segments:
             raise XmlError("an <IDOC> element has neither a control record nor segments")
         out.append(doc)
@@ -106,39 +107,45 @@ def control_bytes(fields: list[tuple[str, str]]) -> bytes:
     return b"".join(lookup(fields, name).encode()[:n].ljust(n) for name, n in CONTROL_FIELDS)
 
 
-def _escaped(text: str) -> str:
-    return text.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+def records(doc: Document, rules: dict[str, list[dict]]) -> Iterator[tuple[str, bytes]]:
+    """('C' or 'D', bytes) of a document's records, fields placed by the dictionary's rules; segments without rules stay blank."""
+    yield "C", control_bytes(doc.control)
+    number = lookup(doc.control, "DOCNUM")
+    head = lookup(doc.control, "MANDT").encode()[:3].ljust(3) + _digits(int(number) if number else 0, 16)
+    latest: dict[int, int] = {}
+    for seq, s in enumerate(doc.segments, 1):
+        latest[s.level] = seq
+        body = bytearray(b" " * SDATA_LEN)
+        for r in rules.get(s.name, []):
+            o, n = r["offset"] or 0, r["length"] or 0
+            if o < 0 or n < 0 or o + n > SDATA_LEN:
+                raise ValueError("encode_sdata: offset/length out of SDATA bounds")
+            body[o : o + n] = lookup(s.fields, r["field_name"] or "").rstrip(" ").encode()[:n].ljust(n)
+        yield "D", s.name.encode()[:30].ljust(30) + head + _digits(seq, 6) + _digits(latest.get(s.level - 1, 0), 6) + _digits(s.level, 2) + bytes(body)
 
 
-def _fields(fields: list[tuple[str, str]], indent: str) -> list[str]:
-    cut = [(n, v.rstrip(" ")) for n, v in fields]
-    return [f"{indent}<{n}>{_escaped(v)}</{n}>\n" for n, v in cut if v]
+def _digits(number: int, width: int) -> bytes:
+    return f"{max(number, 0):0{width}d}"[-width:].encode()
 
 
 HEAD = '<?xml version="1.0" encoding="utf-8"?>\n'
+IDOC_HEAD = '  <IDOC BEGIN="1">\n    <EDI_DC40 SEGMENT="1">\n'
+IDOC_CONTROL_END = "    </EDI_DC40>\n"
+IDOC_END = "  </IDOC>\n"
 
 
-def kind_of(doc: Document) -> str:
-    """The name of a document's root element."""
-    return (lookup(doc.control, "IDOCTYP") or "IDOC").rstrip(" ")
+class OpenSegments:
+    """The segments that are open while a document is written; nesting follows the levels."""
 
+    def __init__(self):
+        self.open: list[tuple[str, int]] = []
 
-def emit(doc: Document) -> str:
-    """A document's IDOC element; nesting follows the levels."""
-    out = ['  <IDOC BEGIN="1">\n    <EDI_DC40 SEGMENT="1">\n', *_fields(doc.control, " " * 6), "    </EDI_DC40>\n"]
-    stack: list[Segment] = []
+    def enter(self, name: str, level: int) -> str:
+        self.open.append((name, level))
+        return f'{" " * (4 + 2 * level)}<{name} SEGMENT="1">\n'
 
-    def leave(level: int) -> None:
-        while stack and stack[-1].level >= level:
-            s = stack.pop()
-            out.append(f"{' ' * (4 + 2 * s.level)}</{s.name}>\n")
-
-    for s in doc.segments:
-        leave(s.level)
-        indent = " " * (4 + 2 * s.level)
-        out.append(f'{indent}<{s.name} SEGMENT="1">\n')
-        out += _fields(s.fields, indent + "  ")
-        stack.append(s)
-    leave(1)
-    out.append("  </IDOC>\n")
-    return "".join(out)
+    def leave(self, level: int) -> Iterator[str]:
+        """The ends of all open segments at a level or below it, the innermost first."""
+        while self.open and self.open[-1][1] >= level:
+            name, own = self.open.pop()
+            yield f"{' ' * (4 + 2 * own)}</{name}>\n"

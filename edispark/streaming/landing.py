@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from edispark.functions.layout import framing_of
 from edispark.shipping import ship
-from edispark.sources.idoc import CHUNK, SCHEMA, _batches, file_records, local
+from edispark.sources.idoc import SCHEMA, cut_files
+from edispark.sources.kinds import Kind
 
 
 def stream_raw(spark: SparkSession, folder: str, framing: str | None = None, lenient: bool = False, pattern: str = "*.idoc", files_per_batch: int = 1000) -> DataFrame:
@@ -14,13 +15,6 @@ def stream_raw(spark: SparkSession, folder: str, framing: str | None = None, len
     ship(spark)
     kind = framing_of(framing)
 
-    def cut(batches):
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = content.as_buffer()
-                pieces = (raw.slice(a, min(CHUNK, raw.size - a)).to_pybytes() for a in range(0, raw.size, CHUNK))
-                yield from _batches(file_records(pieces, local(path), kind, lenient, False), local(path))
-
     files = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
     files = files.option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_batch).load(folder)
-    return files.select("path", "content").mapInArrow(cut, SCHEMA)
+    return files.select("path", "content").mapInArrow(cut_files(Kind({}), kind, lenient, False), SCHEMA)

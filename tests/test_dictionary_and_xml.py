@@ -130,3 +130,50 @@ def test_landing(spark, flight, tmp_path):
     out = str(tmp_path / "table")
     stream_raw(spark, str(tmp_path)).writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(out).count() == 3
+
+
+def test_hierarchy_has_no_deepest_level(spark):
+    levels = list(range(1, 21)) + [5, 6, 20, None]
+    df = spark.createDataFrame([(1, k, lvl) for k, lvl in enumerate(levels)], "doc int, ord int, hlevel int")
+    got = [r.psgnum for r in hierarchy.renumber(df, ["doc"]).orderBy("ord").collect()]
+    want = [max((j + 1 for j in range(k) if lvl is not None and levels[j] == lvl - 1), default=0) for k, lvl in enumerate(levels)]
+    assert got == want and got[:20] == list(range(20))
+
+
+def test_deep_xml():
+    n = 5000
+    raw = f"<T><IDOC>{CONTROL_ONLY}{'<S SEGMENT=' + chr(34) + '1' + chr(34) + '>'}".encode()
+    raw += b'<S SEGMENT="1">' * (n - 1) + b"<A>1</A>" + b"</S>" * n + b"</IDOC></T>"
+    doc = xml.parse(raw)[0]
+    assert [s.level for s in doc.segments] == list(range(1, n + 1)) and doc.segments[-1].fields == [("A", "1")]
+
+
+def test_sql_forms(spark, rules, tmp_path):
+    dictionary.register(spark)
+    bad = spark.createDataFrame([("S1", 1, "A", 0, 10, ""), ("S1", 2, "B", 5, 10, ""), ("S1", 3, "C", 995, 20, ""), ("S2", 1, "D", -1, 0, None), ("S2", 1, "E", 0, 5, None)], RULE_TYPE)
+    bad.createOrReplaceTempView("bad_rules")
+    for name, function in (("dict_offsets", dictionary.offsets), ("dict_validate", dictionary.validate)):
+        one, two = spark.sql(f"SELECT * FROM sap_idoc_{name}(TABLE(bad_rules))"), function(spark, bad.coalesce(1))
+        assert one.dtypes == two.dtypes and sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    row = spark.sql("SELECT inline(d) FROM (SELECT sap_idoc_dict_from_fields(array(named_struct('a','E1','b','X','c','000001','d','000000','e','000003','f','CHAR','g','','h','')), 'T', '', '620') AS d)").first()
+    assert (row.idoctyp, row.segnam, row.field_pos, row.offset, row.length, row.mandatory) == ("T", "E1", 1, 0, 3, False)
+
+
+def test_xml_kinds(spark, rules, flight, tmp_path):
+    path = str(tmp_path / "a.xml")
+    rules.write.parquet(str(tmp_path / "rules.parquet"))
+    open(path, "w").write(convert.to_xml(spark, flight, rules).first().xml)
+    one = spark.read.format("idoc").option("kind", "xml").load(path).drop("filename")
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, convert.read_xml(spark, path).collect()))
+    two = spark.read.format("idoc").options(kind="records", dict=str(tmp_path / "rules.parquet")).load(path)
+    cols = ["document_key", "record_index", "record_type", "raw_record"]
+    assert sorted(map(repr, two.select(cols).collect())) == sorted(map(repr, convert.xml_to_records(spark, path, rules).select(cols).collect()))
+
+
+def test_export(spark, tmp_path):
+    kind = "array<struct<SEGMENTTYP:string,FIELDNAME:string,FIELD_POS:string,BYTE_FIRST:string,EXTLEN:string>>"
+    raw = spark.createDataFrame([(("620",), [("E1", "X", "000001", "000000", "000003")], [("E1", "E1000")])], f"PE_HEADER struct<RELEASED:string>, PT_FIELDS {kind}, PT_SEGMENTS array<struct<SEGMENTTYP:string,SEGMENTDEF:string>>")
+    for form in ("csv", "parquet"):
+        dictionary.export([("T1", "", raw), ("T2", "ZX", raw)], str(tmp_path / form), form)
+        got = [spark.read.format(form).option("header", True).load(str(tmp_path / form / f"{t}.dict")).first() for t in ("T1", "T2")]
+        assert [(r.idoctyp, r.segnam, r.segdef, int(r.length)) for r in got] == [("T1", "E1", "E1000", 3), ("T2", "E1", "E1000", 3)]

@@ -230,6 +230,7 @@ def test_large_files_are_read_in_parts(spark, tmp_path, monkeypatch, end):
     path.write_bytes(b"".join(r + end for r in FLIGHT * 50))
     whole = [tuple(r) for r in read.read_raw(spark, str(path)).orderBy("record_index").collect()]
     monkeypatch.setattr(idoc, "SPLIT", 10_000)
+    monkeypatch.setattr(idoc, "LEAST_PART", 10_000)
     df = read.read_raw(spark, str(path))
     assert df.rdd.getNumPartitions() > 5 and [tuple(r) for r in df.orderBy("record_index").collect()] == whole
     assert whole[-1][:2] == (50, 149)
@@ -237,3 +238,87 @@ def test_large_files_are_read_in_parts(spark, tmp_path, monkeypatch, end):
     with pytest.raises(Exception, match="framing|malformed"):
         read.read_raw(spark, str(path)).collect()
     assert read.read_raw(spark, str(path), lenient=True).count() == (149 if not end else 150)
+
+
+def test_lenient_files_in_parts_read_as_whole(spark, tmp_path, monkeypatch):
+    """Records short and long of their length, whose sum is right, and a line without its end."""
+    from edispark.sources import idoc
+
+    lines = [(r[:-1] if k == 7 else r + b"x" if k == 80 else r) for k, r in enumerate(FLIGHT * 50)]
+    cases = {"lf": b"\n".join(lines), "crlf": b"\r\n".join(lines), "stops": b"\n".join([*lines[:90], b"y" * 5000, *lines[90:]])}
+    for name, raw in cases.items():
+        (tmp_path / f"{name}.idoc").write_bytes(raw + b"\n")
+    whole = {name: [tuple(r) for r in read.read_raw(spark, str(tmp_path / f"{name}.idoc"), lenient=True).orderBy("record_index").collect()] for name in cases}
+    assert len(whole["lf"]) == len(whole["crlf"]) == 150 and len(whole["stops"]) == 90
+    monkeypatch.setattr(idoc, "SPLIT", 8_000)
+    monkeypatch.setattr(idoc, "LEAST_PART", 8_000)
+    for name in cases:
+        df = read.read_raw(spark, str(tmp_path / f"{name}.idoc"), lenient=True)
+        assert df.rdd.getNumPartitions() > 5 and [tuple(r) for r in df.orderBy("record_index").collect()] == whole[name]
+        with pytest.raises(Exception, match="malformed terminated IDoc record #7: got 1062 bytes"):
+            read.read_raw(spark, str(tmp_path / f"{name}.idoc")).collect()
+
+
+def test_format_takes_folders_globs_and_kinds(spark, tmp_path, rules):
+    (tmp_path / "in").mkdir()
+    for name in ("a", "b"):
+        (tmp_path / "in" / f"{name}.idoc").write_bytes(b"".join(FLIGHT))
+    (tmp_path / "in" / "c.txt").write_bytes(b"".join(FLIGHT))
+    read.read_raw(spark, str(tmp_path / "in" / "a.idoc"))  # registers the format
+    rules.write.option("header", True).csv(str(tmp_path / "rules"))
+
+    def rows(path, **options):
+        view = ", ".join(f"{k} '{v}'" for k, v in {"path": f"{tmp_path}/{path}", **options}.items())
+        spark.sql(f"CREATE OR REPLACE TEMP VIEW v USING idoc OPTIONS ({view})")
+        return spark.sql("SELECT * FROM v")
+
+    assert rows("in").count() == 9 and rows("in/*.idoc").count() == 6 and rows("in/{a,c}.*").count() == 6 and rows("i[n]/b.idoc").count() == 3
+    for path in ("in/*.none", "none.idoc"):
+        with pytest.raises(Exception, match="no files match|no such file"):
+            rows(path).count()
+    own, folder = str(tmp_path / "in/a.idoc"), str(tmp_path / "rules")
+    pairs = [
+        (rows("in/a.idoc", kind="control"), read.read_control(spark, own, filename=True)),
+        (rows("in/a.idoc", kind="data"), read.read(spark, own, filename=True)),
+        (rows("in/a.idoc", kind="segment", segnam="E1NEW", dict=folder), read.read_segment(spark, own, "E1NEW", rules, filename=True)),
+        (rows("in/a.idoc", kind="fields", dict=folder), read.read_fields(spark, own, rules, filename=True)),
+        (rows("in/a.idoc", kind="fields", dict=folder, include_unknown="false"), read.read_fields(spark, own, rules, include_unknown=False, filename=True)),
+    ]
+    for one, two in pairs:
+        assert one.columns == two.columns and one.dtypes == two.dtypes and sorted(map(repr, one.collect())) == sorted(map(repr, two.collect())) != []
+    for bad in ({"kind": "odd"}, {"kind": "segment", "dict": folder}, {"kind": "fields"}, {"kind": "segment", "segnam": "NONE", "dict": folder}):
+        with pytest.raises(Exception, match="unknown kind|needs the option|no fields for segment"):
+            rows("in/a.idoc", **bad).count()
+
+
+def test_other_records_are_dropped_where_they_are_cut(spark, flight):
+    from edispark.sources.idoc import raw_scan
+
+    assert raw_scan(spark, flight, only="C").count() == 1 and raw_scan(spark, flight, only="D").count() == 2
+    only = raw_scan(spark, flight, only="D", segnam="E1NEW").collect()
+    assert [(r.document_key, r.record_index) for r in only] == [(1, 2)]
+
+
+def test_sink_replaces_and_refuses(spark, tmp_path):
+    df = spark.createDataFrame([(r,) for r in FLIGHT], "r binary").coalesce(1)
+    for out in (str(tmp_path / "x.idoc"), f"file://{tmp_path}/y.idoc"):
+        for n in (1, 2):
+            write_idoc(df.union(df) if n == 2 else df, out)
+            assert os.path.getsize(out.removeprefix("file://")) == n * 2650
+        write_idoc(df, out, single=False)
+        assert os.path.isdir(out.removeprefix("file://"))
+        write_idoc(df, out)
+        assert os.path.isfile(out.removeprefix("file://"))
+    assert sorted(os.listdir(tmp_path)) == ["x.idoc", "y.idoc"]
+    with pytest.raises(ValueError, match="no file system for 'ftp:'"):
+        write_idoc(df, "ftp://host/x.idoc")
+    with pytest.raises(Exception, match="no file system for 'foo:'"):
+        df.write.format("idoc").mode("overwrite").save("foo://host/x.idoc")
+
+
+def test_paths_that_only_spark_opens(spark, flight, tmp_path):
+    """A mount table: no task can open these paths itself."""
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.mine.link./in", f"file://{tmp_path}")
+    assert [bytes(r.raw_record) for r in read.read_raw(spark, "viewfs://mine/in/flight.idoc").orderBy("record_index").collect()] == FLIGHT
+    assert read.read_control(spark, "viewfs://mine/in/*.idoc").count() == 1
