@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,15 +30,15 @@ def read_xml(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     A segment without fields gives one row with empty name and value.
     """
-    none = F.array(F.struct(F.lit("").alias("n"), F.lit("").alias("v")))
+    none = F.array(F.struct(*[F.lit("").alias(c) for c in "nvu"]))
     fields = F.when((F.col("seq") > 0) & (F.size("fields") == 0), none).otherwise(F.col("fields"))
     rows = xml_segments(spark, path).select("document_key", "seq", "segnam", "hlevel", F.explode(fields).alias("f"))
     return rows.select("document_key", "seq", "segnam", "hlevel", F.col("f.n").alias("field_name"), F.col("f.v").alias("value"))
 
 
-def _value(fields, name):
-    """The first value of a name among (name, value) pairs, in any case; empty if absent."""
-    return F.coalesce(F.get(F.filter(fields, lambda f: F.upper(f["n"]) == F.upper(name)), F.lit(0))["v"], F.lit(""))
+def _value(fields, upper_name):
+    """The first value of a name in upper case among fields with ``u``, their names in upper case; empty if absent."""
+    return F.coalesce(F.get(F.filter(fields, lambda f: f["u"] == upper_name), F.lit(0))["v"], F.lit(""))
 
 
 def xml_to_records(spark: SparkSession, path: str | list[str], dict_source) -> DataFrame:
@@ -48,13 +50,12 @@ def xml_to_records(spark: SparkSession, path: str | list[str], dict_source) -> D
     segments = xml_segments(spark, files)
     if len(files) < spark.sparkContext.defaultParallelism:
         # few files are parsed by few tasks; their segments are encoded by all
-        segments = segments.repartition("filename", "document_key", "seq")
+        segments = segments.repartition(_tasks(spark), "filename", "document_key", "seq")
     df = segments.join(_layout(spark, dict_source), "segnam", "left")
     fields = F.col("fields")
-    names = F.array(*[F.lit(n) for n, _ in CONTROL_FIELDS])
-    control = encode_control(F.transform(names, lambda n: _value(fields, n)))
+    control = encode_control(F.array(*[_value(fields, F.lit(n)) for n, _ in CONTROL_FIELDS]))
     rules = F.coalesce(F.col("rules"), F.array().cast(RULE_LIST))
-    sdata = encode_sdata_bytes(F.transform(rules, lambda r: r["offset"]), F.transform(rules, lambda r: r["length"]), F.transform(rules, lambda r: _value(fields, r["field_name"])))
+    sdata = encode_sdata_bytes(F.transform(rules, lambda r: r["offset"]), F.transform(rules, lambda r: r["length"]), F.transform(rules, lambda r: _value(fields, F.upper(r["field_name"]))))
     number = F.when(F.col("docnum") == "", F.lit(0)).otherwise(F.col("docnum").cast("long"))
     data = encode_data_record(F.col("segnam"), F.col("mandt"), number, F.col("seq"), F.col("psgnum"), F.col("hlevel"), sdata)
     head = F.col("seq") == 0
@@ -63,10 +64,16 @@ def xml_to_records(spark: SparkSession, path: str | list[str], dict_source) -> D
     )
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Partitions of rows that cost more time than their bytes tell: as many as a shuffle has, at least one for each core."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def documents_xml(spark: SparkSession, path: str | list[str], dict_source) -> DataFrame:
     """``filename, document_key, kind, xml``: the root element's name and the IDOC element of each document of flat files."""
     ship(spark)
     at = {n: (o, k) for n, o, k in placed(DATA_FIELDS)}
+    idoctyp = next((o, k) for n, o, k in placed(CONTROL_FIELDS) if n == "IDOCTYP")
     head = F.col("record_type") == "C"
     raw = raw_scan(spark, path).withColumn("_r", checked(F.col("raw_record"), F.when(head, CONTROL_LEN).otherwise(DATA_LEN)))
     own = F.rtrim(slice_of(F.col("_r"), *at["SEGNAM"]).cast("string"))
@@ -85,20 +92,39 @@ def documents_xml(spark: SparkSession, path: str | list[str], dict_source) -> Da
     # each record's own lines are text before any Python sees them; only the ends of segments depend on their neighbours
     pad = F.repeat(F.lit(" "), F.when(F.col("head"), 6).otherwise(F.lit(6) + F.col("level") * 2).cast("int"))
     escaped = F.transform(F.filter(fields, lambda f: f["v"] != ""), lambda f: F.concat(pad, F.lit("<"), f["n"], F.lit(">"), _escaped(f["v"]), F.lit("</"), f["n"], F.lit(">\n")))
-    rows = df.select("filename", "document_key", "record_index", "segnam", "level", F.array_join(escaped, "").alias("lines"), F.when(F.col("head"), _value(control, F.lit("IDOCTYP"))).alias("kind"))
-
-    def emit(table: pa.Table) -> pa.Table:
-        table = table.sort_by("record_index")
-        out, stack, kind = [xml.IDOC_HEAD, xml.IDOC_CONTROL_END], xml.OpenSegments(), ""
-        for name, level, lines, k in zip(*(table.column(c).to_pylist() for c in ("segnam", "level", "lines", "kind")), strict=True):
-            if level == 0:
-                out[1], kind = lines + xml.IDOC_CONTROL_END, k
-            else:
-                out += [*stack.leave(level), stack.enter(name, level), lines]
-        out += [*stack.leave(1), xml.IDOC_END]
-        return pa.table({"filename": table.column("filename").slice(0, 1), "document_key": table.column("document_key").slice(0, 1), "kind": [kind or "IDOC"], "xml": ["".join(out)]})
-
-    return rows.groupBy("filename", "document_key").applyInArrow(emit, "filename string, document_key long, kind string, xml string")
+    rows = df.select("filename", "document_key", "record_index", "segnam", "level", F.array_join(escaped, "").alias("lines"), F.when(F.col("head"), F.rtrim(slice_of(F.col("_r"), *idoctyp).cast("string"))).alias("kind"))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents from rows in their order; one document is held at a time."""
+        own, out, stack, kind = None, [], xml.OpenSegments(), ""
+        made: list[tuple] = []
+
+        def close() -> None:
+            if own is not None:
+                made.append((*own, kind or "IDOC", "".join([*out, *stack.leave(1), xml.IDOC_END])))
+
+        def batch() -> pa.RecordBatch:
+            columns = [pa.array(c, t) for c, t in zip(zip(*made, strict=True), (pa.string(), pa.int64(), pa.string(), pa.string()), strict=True)]
+            made.clear()
+            return pa.RecordBatch.from_arrays(columns, ["filename", "document_key", "kind", "xml"])
+
+        for rows in batches:
+            for filename, document, _, name, level, lines, k in zip(*(c.to_pylist() for c in rows.columns), strict=True):
+                if own != (filename, document):
+                    close()
+                    own, out, kind = (filename, document), [xml.IDOC_HEAD, xml.IDOC_CONTROL_END], ""
+                if level == 0:
+                    out[1], kind = lines + xml.IDOC_CONTROL_END, k
+                else:
+                    out += [*stack.leave(level), stack.enter(name, level), lines]
+            if made:
+                yield batch()
+        close()
+        if made:
+            yield batch()
+
+    ordered = rows.repartition(_tasks(spark), "filename", "document_key").sortWithinPartitions("filename", "document_key", "record_index")
+    return ordered.mapInArrow(emit, "filename string, document_key long, kind string, xml string")
 
 
 def _escaped(text):

@@ -418,7 +418,7 @@ def write_idoc(df: DataFrame, path: str, framing: str = "fixed", validate: bool
 
 XML_SCHEMA = (
     "filename string, document_key long, first_index long, seq long, segnam string, hlevel int, psgnum long, docnum string, mandt string, "
-    "fields array<struct<n:string,v:string>>"
+    "fields array<struct<n:string,v:string,u:string>>"
 )
 
 
@@ -429,20 +429,23 @@ def xml_segments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     number, the control record's DOCNUM and MANDT, and the file's records before the document.
     """
     ship(spark)
-    pair = pa.list_(pa.struct([("n", pa.string()), ("v", pa.string())]))
+    pair = pa.list_(pa.struct([("n", pa.string()), ("v", pa.string()), ("u", pa.string())]))
     types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pair)
 
+    def cut(fields: list[tuple[str, str]]) -> list[dict]:
+        return [{"n": n, "v": v.rstrip(" "), "u": n.upper()} for n, v in fields]
+
     def rows_of(path: str, content: bytes) -> Iterator[tuple]:
         first = 0
         for k, doc in enumerate(xml.parse(content), 1):
             head = (local(path), k, first)
             tail = (xml.lookup(doc.control, "DOCNUM"), xml.lookup(doc.control, "MANDT"))
-            yield (*head, 0, "EDI_DC40", 0, 0, *tail, [{"n": n, "v": v.rstrip(" ")} for n, v in doc.control])
+            yield (*head, 0, "EDI_DC40", 0, 0, *tail, cut(doc.control))
             latest: dict[int, int] = {}
             for seq, s in enumerate(doc.segments, 1):
                 latest[s.level] = seq
                 parent = latest.get(s.level - 1, 0) if s.level > 1 else 0
-                yield (*head, seq, s.name, s.level, parent, *tail, [{"n": n, "v": v.rstrip(" ")} for n, v in s.fields])
+                yield (*head, seq, s.name, s.level, parent, *tail, cut(s.fields))
             first += 1 + len(doc.segments)
 
     def over(batches):
