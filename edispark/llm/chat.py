@@ -78,7 +78,14 @@ class Flattener:
     attachments: list[dict] = field(default_factory=list)
 
     def visit(self, part: Part) -> None:
-        getattr(self, f"visit_{part.kind}")(part)
+        getattr(self, f"visit_{part.kind}", self.visit_other)(part)
+
+    def visit_other(self, part: Part) -> None:
+        """A kind without a rule of its own: its text if it has one, else a reference that keeps the kind's name."""
+        if part.text:
+            self.visit_text(part)
+        else:
+            self._attach(part, max(1, part.pages) * self.page_tokens)
 
     def visit_text(self, part: Part) -> None:
         start = len(self.text)
@@ -87,7 +94,7 @@ class Flattener:
 
     def _attach(self, part: Part, tokens: int) -> None:
         self.attachments.append({"kind": part.kind, "uri": part.uri, "place": len(self.text), "tokens": tokens})
-        self.text += f"<|{part.kind}|>"
+        self.text += f"<|{part.kind}|>" if part.kind in ("image", "audio") else "<|document|>"
 
     def visit_image(self, part: Part) -> None:
         tiles = -(-max(part.width, 1) // self.tile) * -(-max(part.height, 1) // self.tile)

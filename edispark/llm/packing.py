@@ -4,7 +4,8 @@ A bin may hold at most ``source_quota`` pieces of one source and no two pieces o
 cluster. Documents longer than a bin are cut into full pieces and a rest; nothing is dropped.
 
 Rows are dealt by hash into groups of a bounded number of pieces, so a hot source or a large cluster
-spreads over all groups. In a group pieces go from long to short. Bins are ordered by residual
+spreads over all groups. Equal rows are counted first and told apart by a number, so that groups and bins depend
+on the rows alone: a repeated task or another partitioning gives the same bins. In a group pieces go from long to short. Bins are ordered by residual
 tokens; each carries a bitmap of sources at their quota and one of the clusters it holds. The
 successor search begins at the least residual that fits and goes on until a bin's bitmaps are
 free of the piece's bits: the tightest compatible bin. If there is none, a bin is opened.
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edispark.llm.common import word_count
-from edispark.shipping import ship
+from edispark.shipping import ship, stored
 
 #: Pieces that a group holds on average.
 GROUP_PIECES = 8192
@@ -79,6 +80,17 @@ def pack(sizes: np.ndarray, sources: np.ndarray, clusters: np.ndarray, capacity:
     return [bins.place(int(n), 1 << int(s), 0 if c < 0 else 1 << int(c)) for n, s, c in zip(sizes, sources, clusters, strict=True)]
 
 
+def pieces(rows: DataFrame, groups: int) -> DataFrame:
+    """``rows`` (doc_id, source, size, cluster) with ``salt``, a hash of the row and its number among equal ones, and its group."""
+    same = rows.groupBy("doc_id", "source", "size", "cluster").agg(F.count("*").alias("_n"))
+    # two steps, so that many equal rows never make one long list
+    step = F.lit(4096)
+    some = same.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / step).cast("long"))))
+    one = some.withColumn("_copy", F.explode(F.sequence(F.col("_k") * step, F.least(F.col("_n"), (F.col("_k") + 1) * step) - 1)))
+    salted = one.withColumn("salt", F.xxhash64("doc_id", "source", "size", "cluster", "_copy")).drop("_n", "_k", "_copy")
+    return salted.withColumn("group", F.pmod(F.xxhash64("salt", F.lit(1)), F.lit(groups)).cast("long"))
+
+
 def packed(docs: DataFrame, capacity: int = 2048, source_quota: int = 4, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", tokens: Column | None = None, cluster: Column | None = None) -> DataFrame:
     """``bin_id, doc_id, source, piece, n_tokens, bin_tokens`` for every piece of every row."""
     spark = docs.sparkSession
@@ -86,17 +98,17 @@ def packed(docs: DataFrame, capacity: int = 2048, source_quota: int = 4, id_col:
     n = word_count(F.col(text_col)) if tokens is None else tokens
     mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) if cluster is None else cluster
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), n.cast("long").alias("size"), mark.cast("long").alias("cluster"))
+    # counting words is what costs: the few bytes of each row are written once
+    rows = stored(rows, "packing-rows")
     sums = rows.agg(F.count("*").alias("n"), F.sum(F.floor(F.col("size") / capacity)).alias("full")).first()
     groups = max(1, -(-(sums["n"] + (sums["full"] or 0)) // GROUP_PIECES))
-    # equal rows differ in nothing, so a running number within the task tells them apart
-    salted = rows.withColumn("salt", F.monotonically_increasing_id())
-    salted = salted.withColumn("group", F.pmod(F.xxhash64("doc_id", "cluster", "salt"), F.lit(groups)).cast("long"))
+    salted = pieces(rows, groups)
     whole = F.floor(F.col("size") / capacity).cast("int")
     rest = F.col("size") - whole * capacity
     # full pieces fill a bin each, without a search; only rests meet others
     full = salted.where(whole > 0).select("group", "doc_id", "source", "size", "cluster", "salt", F.explode(F.sequence(F.lit(0), whole - 1)).alias("piece"))
     full = full.select(
-        F.concat_ws("-", F.lit("f"), F.col("salt"), F.col("piece")).alias("bin_id"), "doc_id", "source", "piece", F.lit(capacity).cast("long").alias("n_tokens"), F.lit(capacity).cast("long").alias("bin_tokens")
+        F.concat_ws("-", F.lit("f"), F.coalesce("doc_id", F.lit("")), F.hex("salt"), F.col("piece")).alias("bin_id"), "doc_id", "source", "piece", F.lit(capacity).cast("long").alias("n_tokens"), F.lit(capacity).cast("long").alias("bin_tokens")
     )
     # pandas would turn nullable integers to floats: a null id travels as a flag
     rests = salted.where((rest > 0) | (whole == 0)).select("group", F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "source", "cluster", "salt", whole.alias("piece"), rest.alias("n"))

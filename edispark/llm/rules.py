@@ -5,8 +5,8 @@ Every rule is evaluated once for each document. The ledger holds the measurement
 these bits; applying another policy, or leaving a rule out of one, never reads a text again.
 
 Defined cases: a null or empty text has no words, so it fails ``few_words``; repeated rows get
-a row each; columns of the input named like a measurement keep their names and place, as the
-ledger only carries ``id_col`` and what ``keep`` names.
+a row each; other columns of the input stay out, as the ledger only carries ``id_col`` and what ``keep`` names;
+a kept column named like one of the ledger's own gets ``input_`` before its name.
 """
 
 from __future__ import annotations
@@ -63,7 +63,8 @@ STANDARD = Policy("standard", 1, tuple(r.name for r in RULES))
 def measured(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", keep: Sequence[str] = ()) -> DataFrame:
     """Measurements of each text; ``keep`` names further input columns to carry."""
     text = F.coalesce(F.col("_text"), F.lit(""))
-    df = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.struct(F.lit(0).alias("_"), *[F.col(c) for c in keep]).alias("_keep"))
+    df = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(keep)]).alias("_keep"))
+    own = {id_col, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "failed_bits"}
     df = df.withColumn("_words", words_of(F.col("_text")))
     # three-word windows by a 64-bit hash that chains their words
     df = df.withColumn("_n", F.size("_words").cast("long")).withColumn(
@@ -86,7 +87,7 @@ def measured(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", ke
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
-        *[F.col("_keep")[c].alias(c) for c in keep],
+        *[F.col("_keep")[f"_{k}"].alias(f"input_{c}" if c in own else c) for k, c in enumerate(keep)],
     )
     return df.select(F.explode_outer(F.array(measures)).alias("_m")).select("_m.*")
 

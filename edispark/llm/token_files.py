@@ -12,9 +12,12 @@ meets ASCII white space; the vocabulary's own splitting pattern always ends a to
 ids of the pieces in a row are the ids of the text. Texts with other white space or with an
 added token of the vocabulary are encoded whole.
 
-Defined cases: a null or empty text is only the end id; rows with the same id are ordered by a hash
-of their texts (equal rows stay as they are); an empty table gives no rows; further input columns
-are not written.
+Each row carries its place: the number of its range (``part``) and of the row in it (``place``). The order of
+the corpus is by these two, whatever files are called and however they are read.
+
+Defined cases: a null or empty text is only the end id; rows with the same id, null too, are ordered by a hash
+of their texts (equal rows stay as they are) and start one behind the other as in the file; null ids come first;
+an empty table gives no rows; further input columns are not written.
 """
 
 from __future__ import annotations
@@ -143,6 +146,10 @@ class Encoder:
                 yield b""
 
 
+_FILE = "doc_id long, n_tokens long, ids array<int>, part int, place long"
+_NAMES = [c.split()[0] for c in _FILE.split(", ")]
+
+
 def _encoded(path: str, end: int):
     tail = array("I", [end]).tobytes()
 
@@ -150,7 +157,10 @@ def _encoded(path: str, end: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from pyspark import TaskContext
+
         encoder = Encoder.of(path)
+        own, place = TaskContext.get().partitionId(), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -161,7 +171,9 @@ def _encoded(path: str, end: int):
                     ends.append(ends[-1] + len(r) // 4)
                 values = pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(rows))])
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(r) // 4 for r in rows], pa.int64()), ids], ["doc_id", "n_tokens", "ids"])
+                numbers = pa.array(range(place, place + len(rows)), pa.int64())
+                place += len(rows)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(r) // 4 for r in rows], pa.int64()), ids, pa.array([own] * len(rows), pa.int32()), numbers], _NAMES)
 
     return over
 
@@ -174,7 +186,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, id_col: str = "doc_id", t
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col("doc_id"), F.xxhash64("text")]
     df = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    df = df.mapInArrow(_encoded(path, end), "doc_id long, n_tokens long, ids array<int>")
+    df = df.mapInArrow(_encoded(path, end), _FILE)
     (
         df.write.option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", "0.01").option("orc.stripe.size", str(64 << 20))
         .option("orc.row.index.stride", "10000").option("compression", "none").orc(out)
@@ -182,34 +194,32 @@ def write_tokens(docs: DataFrame, out: str, path: str, id_col: str = "doc_id", t
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids`` of token files; filters on ``doc_id`` are pushed down to stripes."""
-    return spark.read.schema("doc_id long, n_tokens long, ids array<int>").orc(path)
+    """``doc_id, n_tokens, ids, part, place`` of token files; filters on ``doc_id`` are pushed down to stripes."""
+    return spark.read.schema(_FILE).orc(path)
 
 
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(3)
+        ids = batch.column(4)
         raw = memoryview(ids.values.buffers()[1])
         at = ids.offsets.to_pylist()
         base = ids.values.offset
         crc = [zlib.crc32(raw[4 * (base + a) : 4 * (base + b)]) for a, b in zip(at, at[1:], strict=False)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(crc, pa.int64())], ["file", "doc_id", "n_tokens", "ids_crc32"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(crc, pa.int64())], ["part", "place", "doc_id", "n_tokens", "ids_crc32"])
 
 
 def index_of(spark: SparkSession, path: str) -> DataFrame:
     """From the files: ``doc_id, start, n_tokens, ids_crc32``; ``start`` counts the ids of all documents before.
 
-    Sums by file come first; a window over the files alone gives their starts, and one in each file the rest.
+    Sums by range come first; a window over the ranges alone, one row each, gives their starts, and one in each range the rest.
     """
     rows = read_tokens(spark, path)
-    files = rows.groupBy(F.input_file_name().alias("file")).agg(F.sum("n_tokens").alias("_n"))
-    # a file's name carries its place in the range order
-    files = files.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("file", "_before")
-    checked = rows.select(F.input_file_name().alias("file"), "doc_id", "n_tokens", "ids").mapInArrow(_checksums, "file string, doc_id long, n_tokens long, ids_crc32 long")
-    # ties keep any order among equal rows; the sum runs over rows in the order of the file
-    in_file = Window.partitionBy("file").orderBy(F.col("doc_id").asc_nulls_first(), "n_tokens", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
-    checked = checked.withColumn("_at", F.coalesce(F.sum("n_tokens").over(in_file), F.lit(0)))
-    return checked.join(files, "file").select("doc_id", (F.col("_before") + F.col("_at")).cast("long").alias("start"), "n_tokens", "ids_crc32")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy("part").agg(F.sum("n_tokens").alias("_n")).select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    checked = rows.select("part", "place", "doc_id", "n_tokens", "ids").mapInArrow(_checksums, "part int, place long, doc_id long, n_tokens long, ids_crc32 long")
+    in_part = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    checked = checked.withColumn("_at", F.coalesce(F.sum("n_tokens").over(in_part), F.lit(0)))
+    return checked.join(parts, "part").select("doc_id", (F.col("_before") + F.col("_at")).cast("long").alias("start"), "n_tokens", "ids_crc32")
 
 
 def tokenized(docs: DataFrame, path: str, **how) -> DataFrame:

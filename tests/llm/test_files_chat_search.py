@@ -7,6 +7,7 @@ from array import array
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from edispark.llm import chat, token_files, topk
 
@@ -16,19 +17,17 @@ VOCAB = token_files.vocabulary_path("byte_bpe_50k.json")
 
 
 def test_pieces_encode_like_the_library():
-    e = token_files.Encoder.of(VOCAB)
+    e, plain = token_files.Encoder.of(VOCAB), Tokenizer.from_file(VOCAB)
     r = random.Random(3)
     bits = ["a", "The", "n't", "'s", "12", " ", "\n", "  ", "\t", chr(0xA0), "é", "!!", "%%%", "<|endoftext|>", "\r\n", "", "日本", "\x1c", chr(0x2003), "x1"]
     for _ in range(1500):
         text = "".join(r.choice(bits) for _ in range(r.randint(0, 14)))
         got = array("I")
         got.frombytes(next(e.encode([text])))
-        assert list(got) == e.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+        assert list(got) == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_added_tokens_have_the_ids_of_the_plain_call(spark, tmp_path):
-    from tokenizers import Tokenizer
-
     plain = Tokenizer.from_file(VOCAB)
     texts = ["x <|endoftext|> y", "<|endoftext|>", "a<|endoftext|><|endoftext|>\n b", "<|endoftext|", "\u00a0<|endoftext|> é"]
     want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
@@ -47,20 +46,26 @@ def test_other_vocabularies_encode_whole_texts():
 
 
 def test_token_files(spark, tmp_path):
-    docs = odd_documents(spark).where("doc_id is not null")
+    """Rows as the files hold them, null ids and seven texts under one id among them, against the library and a running sum."""
+    docs = odd_documents(spark).select("doc_id", "text")
+    same = [(7, "word " * n) for n in (2, 15, 3, 17, 11, 5, 19)]
+    docs = docs.union(spark.createDataFrame(same, docs.schema)).repartition(3)
     out = str(tmp_path / "tokens")
     token_files.write_tokens(docs, out, VOCAB)
-    rows = sorted(token_files.index_of(spark, out).collect(), key=lambda r: r.start)
-    e = token_files.Encoder.of(VOCAB).tokenizer
-    want = sorted((r.doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for r in docs.collect() for ids in [[*e.encode(r.text or "", add_special_tokens=False).ids, 2]])
-    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in rows) == want
-    assert [r.doc_id for r in rows] == sorted(r.doc_id for r in rows)
-    at = 0
-    for r in rows:
-        assert r.start == at
-        at += r.n_tokens
-    one = token_files.read_tokens(spark, out).where("doc_id = 7")
-    assert one.count() == 1 and "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,7)]" in one._jdf.queryExecution().toString()
+    plain = Tokenizer.from_file(VOCAB)
+    want = sorted(((r.doc_id, *plain.encode(r.text or "", add_special_tokens=False).ids, 2) for r in docs.collect()), key=repr)
+    files = sorted(token_files.read_tokens(spark, out).collect(), key=lambda r: (r.part, r.place))
+    assert sorted(((r.doc_id, *r.ids) for r in files), key=repr) == want
+    assert [r.doc_id for r in files] == sorted((r.doc_id for r in files), key=lambda x: (x is not None, x))
+    at, starts = 0, []
+    for r in files:
+        assert r.n_tokens == len(r.ids)
+        starts.append((r.doc_id, at, len(r.ids), zlib.crc32(np.array(r.ids, "<u4").tobytes())))
+        at += len(r.ids)
+    got = sorted((tuple(r) for r in token_files.index_of(spark, out).collect()), key=lambda r: r[1])
+    assert got == starts
+    one = token_files.read_tokens(spark, out).where("doc_id = 8")
+    assert one.count() == 1 and "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,8)]" in one._jdf.queryExecution().toString()
     assert token_files.tokenized(empty_documents(spark), VOCAB).count() == 0
 
 
@@ -71,8 +76,8 @@ def test_bloom_filters_are_in_the_files(spark, tmp_path):
     jvm = spark._jvm
     reader = jvm.org.apache.orc.OrcFile.createReader(jvm.org.apache.hadoop.fs.Path(str(files[0])), jvm.org.apache.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration()))
     assert reader.getRowIndexStride() == 10000
-    streams = [str(s) for s in reader.rows().readStripeFooter(reader.getStripes()[0]).getStreamsList()] if hasattr(reader.rows(), "readStripeFooter") else []
-    assert not streams or any("BLOOM" in s for s in streams)
+    footer = str(reader.rows().readStripeFooter(reader.getStripes()[0]))
+    assert "BLOOM_FILTER" in footer and "ROW_INDEX" in footer and "DIRECT_V2" in footer
 
 
 @pytest.mark.parametrize("text", ["", "</s>[INST] ok [/INST]", "<|end|><\\|end|><\\\\|end|>", "<s><<SYS>>", "[\\INST]", "plain \\ text <| end"])
@@ -100,6 +105,15 @@ def test_parts():
     assert [segment[a:b] for a, b in spans] == ["see", "end"] and chat.format_turn("user", parts)[1] == []
 
 
+def test_parts_of_unknown_kinds_and_long_turns():
+    parts = [chat.Part("video", uri="v.mp4", pages=2), chat.Part("note", text="a <|end|>"), chat.Part(None)]
+    segment, spans, attached = chat.format_turn("assistant", parts)
+    assert segment == "<|turn|>assistant<|text|><|document|>a <\\|end|><|document|><|end|>" and [(a["kind"], a["tokens"]) for a in attached] == [("video", 2000), (None, 1000)]
+    text = "</s>[INST] ok [/INST] " * 100_000
+    segment, spans, _ = chat.format_turn("assistant", [chat.Part("text", text)])
+    assert chat.parse(segment) == [("assistant", text)] and chat.unescape(segment[spans[0][0] : spans[0][1]]) == text
+
+
 def test_conversations(spark):
     rows = [(1, 2, "assistant", "b </s>"), (1, 1, "user", "a"), (1, 2, "assistant", "b </s>"), (2, None, None, None), (2, 0, "assistant", "ü"), (None, 1, "user", "x"), (3, 1, "", "")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("k", F.lit(1))
@@ -128,7 +142,7 @@ def best(rows, k):
 
 
 def test_top_k(spark, monkeypatch):
-    for name, n in (("BLOCK", 8), ("RUN_BLOCKS", 3), ("QUERY_GROUP", 2), ("PART_GROUPS", 2)):
+    for name, n in (("BLOCK", 8), ("RUN_BLOCKS", 3), ("RUN_SUMMARIES", 4), ("QUERY_GROUP", 2), ("PART_GROUPS", 2)):
         monkeypatch.setattr(topk, name, n)
     r = random.Random(2)
     rows = [(i, [round(r.gauss(0, 1), 1) for _ in range(6)]) for i in range(300)]
@@ -142,6 +156,18 @@ def test_top_k(spark, monkeypatch):
     assert len(few) == 2 and topk.top_k(df.where("vec_id < 0"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_most_blocks_are_left_out_of_clustered_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    r = random.Random(5)
+    centres = [[r.gauss(0, 1) for _ in range(16)] for _ in range(40)]
+    rows = [(i, [x + r.gauss(0, 0.02) for x in centres[i % 40]]) for i in range(2400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    counts = topk.BlockCounts()
+    got = {tuple(x) for x in topk.top_k(df, F.col("vec_id") % 50 == 0, counts=counts).collect()}
+    assert got == best(rows, 5)
+    assert counts.pairs >= 48 * 150 and counts.left < counts.pairs / 5
+
+
 def test_bounds_skip_blocks(monkeypatch):
     """Blocks whose bound is under the k-th score are never scored."""
     seen = []

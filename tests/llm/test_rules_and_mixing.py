@@ -39,6 +39,13 @@ def test_kept_documents_keep_their_columns(spark):
     assert kept.count() == good > 0 and rules.kept_documents(empty_documents(spark)).count() == 0
 
 
+def test_kept_columns_may_clash(spark):
+    docs = odd_documents(spark)
+    book = rules.ledger(docs, keep=["n_words", "lang", "doc_id", "failed_bits"]) if "failed_bits" in docs.columns else rules.ledger(docs, keep=["n_words", "lang", "doc_id"])
+    assert {"input_n_words", "lang", "input_doc_id", "n_words", "failed_bits"} <= set(book.columns)
+    assert all(r.input_n_words == 1 and r.input_doc_id == r.doc_id for r in book.collect())
+
+
 def test_ablation(spark):
     book = rules.ledger(odd_documents(spark))
     rows = book.collect()
@@ -103,7 +110,7 @@ def brute_pack(pieces, capacity, quota):
     """The tightest compatible bin by looking at all of them; among equally tight ones the first opened."""
     bins, out = [], []
     for size, source, cluster in pieces:
-        fit = [(capacity - sum(p[0] for p in b) - size, k) for k, b in enumerate(bins) if sum(p[0] for p in b) + size <= capacity and sum(p[1] == source for p in b) < quota and (cluster < 0 or all(p[2] != cluster for p in b))]
+        fit = [(capacity - sum(p[0] for p in b) - size, k) for k, b in enumerate(bins) if sum(p[0] for p in b) + size <= capacity and sum(p[1] == source for p in b) < quota and (cluster == -1 or all(p[2] != cluster for p in b))]
         k = min(fit)[1] if fit else len(bins)
         if not fit:
             bins.append([])
@@ -123,18 +130,26 @@ def test_packing_equals_brute_force(seed):
 
 
 def test_packing_rows(spark, monkeypatch):
+    """Bins of a table, row for row, by brute force in each group; equal texts and equal rows are never together."""
     monkeypatch.setattr(packing, "GROUP_PIECES", 16)
     docs = odd_documents(spark)
-    rows = packing.packed(docs, capacity=256, source_quota=2).collect()
-    lengths = Counter((r.doc_id, r.n) for r in docs.select("doc_id", word_count(F.col("text")).alias("n")).collect())
-    assert sum(r.n_tokens for r in rows) == sum(n * k for (_, n), k in lengths.items())
-    assert Counter(r.doc_id for r in rows) == Counter(x for (d, n), k in lengths.items() for x in [d] * (k * max(1, -(-n // 256))))
-    text = {(r.doc_id, r.n): r.text for r in docs.select("doc_id", "text", word_count(F.col("text")).alias("n")).collect()}
-    bins = defaultdict(list)
-    for r in rows:
-        bins[r.bin_id].append(r)
-    for b in bins.values():
-        assert sum(r.n_tokens for r in b) == b[0].bin_tokens <= 256
-        assert max(Counter(r.source for r in b).values()) <= 2
-        assert len({(r.doc_id, r.piece) for r in b}) == len(b) or any(r.doc_id is None for r in b)
-    assert text and packing.packed(empty_documents(spark)).count() == 0
+    got = packing.packed(docs, capacity=256, source_quota=2).collect()
+    again = packing.packed(docs.repartition(5), capacity=256, source_quota=2).collect()
+    assert Counter(map(tuple, got)) == Counter(map(tuple, again))
+    own = docs.select("doc_id", F.col("source"), word_count(F.col("text")).alias("size"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("cluster"))
+    full = [r.n // 256 for r in docs.select(word_count(F.col("text")).alias("n")).collect()]
+    groups = -(-(len(full) + sum(full)) // 16)
+    want, by_group = Counter(), defaultdict(list)
+    for r in packing.pieces(own, groups).collect():
+        want.update((r.doc_id, r.source, k, 256, (r.salt, k)) for k in range(r.size // 256))
+        if r.size % 256 or not r.size:
+            by_group[r.group].append((r.size % 256, r))
+    for group, rows in by_group.items():
+        rows.sort(key=lambda x: (-x[0], x[1].doc_id or 0, x[1].cluster, x[1].salt))
+        sources, copies = {r.source: k for k, (_, r) in enumerate(rows)}, Counter(r.cluster for _, r in rows)
+        bins = brute_pack([(n, sources[r.source], r.cluster if copies[r.cluster] > 1 else -1) for n, r in rows], 256, 2)
+        want.update((r.doc_id, r.source, r.size // 256, n, f"{group}-{b}") for b, (n, r) in zip(bins, rows, strict=True))
+    bins = {x[-1] for x in want}
+    assert len({r.bin_id for r in got}) == len(bins)
+    assert Counter(x[:4] if isinstance(x[4], tuple) else x for x in want.elements()) == Counter((r.doc_id, r.source, r.piece, r.n_tokens) if r.bin_id[0] == "f" else (r.doc_id, r.source, r.piece, r.n_tokens, r.bin_id) for r in got)
+    assert packing.packed(empty_documents(spark)).count() == 0
