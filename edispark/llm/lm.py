@@ -1,28 +1,36 @@
 """A log-bilinear language model with noise-contrastive estimation, over the whole corpus.
 
-Tokens are words (A-Z lower-cased) and one end for each text. The model predicts a *unit*: one of the
-most frequent tokens, or one of the classes that share the others out by their last bytes. With
-context vectors c and output vectors q, the score of unit w after units (u, v) is
-``(A c_u + B c_v) . q_w + b_w``; softmax over all units normalises it. A class's mass goes to its
-words by absolute discounting of their corpus counts, and what the discount frees to a word that
-training has not seen. The probabilities of all known tokens and of an unknown one in each class
-add up to 1.
-
-What is gathered: counts of every token of the training texts (a distributed table); counts of
-(u, v, w) over units, at most ``UNITS`` cubed whatever the corpus holds; the tokens with at least
-1/``FREQUENT`` of all occurrences, at most ``FREQUENT`` of them. Training reads the unit counts with numpy;
-scoring turns each batch's distinct contexts to normalised log-probabilities in one matrix product.
-Rarer tokens meet their counts in a join.
+Tokens are words (A-Z lower-cased) and one end for each text, each known by a 64-bit hash. The net predicts a
+*unit*: a frequent token (the shortlist: as many as ``SHORTLIST`` of those seen three times or more), or one of the buckets
+that share the others out by their last bytes; the number of buckets grows with the square root of the
+vocabulary. Units go by frequency into classes of about the square root of their number.
+
+With context vectors r of the ``CONTEXT`` units before, position weights c, and output vectors q, the score of a
+class or of a unit in its class is ``(sum over k of c_k * r_k) . q + b``; softmax over the classes, and over the units of a
+class, normalises both exactly, so a token costs two products of about the square root of the vocabulary.
+A bucket's mass goes to its words by absolute discounting of their corpus counts, and what the discount
+frees to a word that training has not seen.
+
+Over this net lies a memory of the corpus for words outside the shortlist: with g a hash of the two words
+before, P(w) = (n(g, w) - 1) / n(g) + rest(g) * P_net(w), where the first term needs n(g, w) of two at least
+and rest(g) is the mass that these terms leave. A pair seen once adds nothing, so a text of the training part gains
+nothing from itself, but passages that recur in other texts are told apart. All probabilities of a context add up to 1.
+
+What is gathered grows with the corpus: counts of every token, and of every (g, w) with w outside the shortlist, both
+distributed tables that texts meet in a join. Only bounded parts travel to the driver and to all tasks: the shortlist,
+vectors, sums by bucket and by g (at most ``MEMORY`` of them).
+
+Training is spread over the corpus: each task makes a pass over all texts of its part (more than one until it has
+made ``STEPS`` steps) with sampled noise, classes against draws of class frequencies and units against draws within their class;
+the parts' vectors are averaged row by row, weighted by how often each row was met.
 
 Defined cases: a null or empty text is its end alone; equal rows get a row each; a null id counts by
 the checksum of an empty string; with no training text all counts are 0 and the base gives 0;
-further columns are ignored.
+further columns are ignored. Two tokens with one 64-bit hash would be one token.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,296 +39,537 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edispark.llm import shingles as S
 from edispark.shipping import ship, stored
 
-SHORTLIST, CLASSES = 96, 32
-UNITS = SHORTLIST + CLASSES
-START = UNITS
-FREQUENT = 1 << 19
-END = b""
-_LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-#: Entries that a task's counters hold before they are handed on.
-_HELD = 400_000
+SHORTLIST, CONTEXT, WIDTH = 20_000, 4, 32
+#: Most buckets and most contexts of the memory; both are powers of two.
+BUCKETS, MEMORY = 2048, 1 << 20
+#: Training: tokens of a step, steps of a part at least, tokens of a part at least, noise draws of classes (shared) and of units (each token).
+BATCH, STEPS, PART, CLASS_NOISE, UNIT_NOISE = 2048, 300, 400_000, 16, 4
+END = 1
+_U = np.uint64
+_DRAWS = 1024
+#: Tokens that a task holds before it hands counts on, and that are scored in one go.
+_HELD, _SCORED = 3_000_000, 60_000
+_FINE = float(1 << 26)
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    return [*(text or "").encode().translate(_LOWER).split(), END]
+@dataclass
+class Read:
+    """Tokens of several texts in a row: hashes, 16 bits of the last bytes, and the texts' offsets (one entry more)."""
+
+    hashes: np.ndarray
+    last: np.ndarray
+    at: np.ndarray
+
+
+def read(data: np.ndarray, offsets: np.ndarray) -> Read:
+    words, w_at = S.word_hashes(data, offsets)
+    rows = len(offsets) - 1
+    spot = np.arange(len(words)) + np.repeat(np.arange(rows), np.diff(w_at))
+    at = w_at + np.arange(rows + 1)
+    hashes, last = np.full(at[-1], END, _U), np.zeros(at[-1], np.int64)
+    hashes[spot] = words
+    if len(words):
+        word = ~S._SPACE[data]
+        stop = word.copy()
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        stop[:-1] &= ~word[1:] | edge[1 : len(data)]
+        stops = np.flatnonzero(stop)
+        lower = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.int64)
+        # what stands before a short word is a blank or another text; both are told by the word's own length
+        length = np.minimum(np.diff(np.append(np.flatnonzero(_starts(word, edge)), len(data) + 3)), 3)
+        one, two = lower[stops], lower[np.maximum(stops - 1, 0)]
+        three = lower[np.maximum(stops - 2, 0)]
+        own = np.minimum(length, stops - np.flatnonzero(_starts(word, edge)) + 1)
+        last[spot] = (one * 7919 + np.where(own > 1, two, 0) * 104729 + np.where(own > 2, three, 0) * 1299709) >> 3 & 0xFFFF
+    return Read(hashes, last, at)
+
+
+def _starts(word: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    first = word.copy()
+    first[1:] &= ~word[:-1] | edge[1 : len(word)]
+    return first
+
+
+def reads(texts: pa.Array, tokens: int = 1 << 62) -> Iterator[tuple[int, int, Read]]:
+    """(first row, last row + 1, tokens) of a column in steps."""
+    for a, b, data, offsets in S.parts(texts):
+        yield a, b, read(data, offsets)
+
+
+def memory_of(r: Read, size: int) -> np.ndarray:
+    """The context g of each token: a hash of the two tokens before it in its text."""
+    one, two = np.zeros_like(r.hashes), np.zeros_like(r.hashes)
+    one[1:], two[2:] = r.hashes[:-1], r.hashes[:-2]
+    first = r.at[:-1]
+    one[first], two[first] = 0, 0
+    second = first[np.diff(r.at) > 1] + 1
+    two[second] = 0
+    return (S.mix(one * _U(0x9E3779B97F4A7C15) + two) & _U(size - 1)).astype(np.int64)
 
 
-def class_of(token: bytes) -> int:
-    return zlib.crc32(token[-3:]) % CLASSES
+@dataclass
+class Units:
+    """Units by frequency: which token or bucket each is, and how tokens find theirs."""
+
+    hashes: np.ndarray  # of the shortlist, ascending
+    unit: np.ndarray  # their units
+    counts: np.ndarray  # their counts
+    bucket: np.ndarray  # unit of each bucket
+    mass: np.ndarray  # occurrences of each unit
+    totals: np.ndarray  # of each bucket
+    types: np.ndarray
+    discount: float
+    memory: int
+
+    @property
+    def step(self) -> int:
+        """Units of a class."""
+        return max(1, int(np.ceil(np.sqrt(len(self.mass)))))
+
+    def of(self, r: Read) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Unit of each token, its place in the shortlist or -1, and its bucket."""
+        spot = np.minimum(np.searchsorted(self.hashes, r.hashes), len(self.hashes) - 1)
+        hit = self.hashes[spot] == r.hashes
+        bucket = r.last & (len(self.bucket) - 1)
+        return np.where(hit, self.unit[spot], self.bucket[bucket]), np.where(hit, spot, -1), bucket
+
+
+def units_of(hashes: np.ndarray, counts: np.ndarray, totals: np.ndarray, types: np.ndarray, discount: float, memory: int) -> Units:
+    """Units from the shortlist (the end among it) and the sums of each bucket."""
+    order = np.argsort(hashes)
+    hashes, counts = hashes[order], counts[order]
+    mass = np.concatenate([counts, totals]).astype(float) + 0.5
+    rank = np.empty(len(mass), np.int64)
+    by_mass = np.argsort(-mass, kind="stable")
+    rank[by_mass] = np.arange(len(mass))
+    return Units(hashes, rank[: len(hashes)], counts, rank[len(hashes) :], mass[by_mass], totals.astype(float), types.astype(float), discount, memory)
 
 
 @dataclass
-class Model:
-    """Unit of each shortlisted token, vectors, and what spreads a class over its words."""
+class Net:
+    """``context`` has a row for each unit and one for the start; ``out`` and ``bias`` for classes, then units."""
 
-    units: dict[bytes, int]
-    left: np.ndarray  # (UNITS + 1, d): vectors of the unit before the last
-    right: np.ndarray  # (UNITS + 1, d): of the last
-    out: np.ndarray  # (UNITS, d)
+    context: np.ndarray
+    position: np.ndarray
+    out: np.ndarray
     bias: np.ndarray
-    totals: np.ndarray  # occurrences in each class
-    types: np.ndarray  # distinct tokens in each class
-    discounts: np.ndarray
-
-    def log_probabilities(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """Normalised natural logs over all units for each context, by one batched matrix product."""
-        s = (self.left[u] + self.right[v]) @ self.out.T + self.bias
-        s -= s.max(axis=1, keepdims=True)
-        return s - np.log(np.exp(s).sum(axis=1, keepdims=True))
-
-    def in_class(self, cls, count):
-        """log10 of a word's share of its class; 0 for a word that training has not seen."""
-        total, types, d = self.totals[cls], self.types[cls], self.discounts[cls]
-        seen = (count - d) / np.maximum(total, 1)
-        unseen = np.where(total > 0, d * types / np.maximum(total, 1), 1.0)
-        return np.log10(np.where(count > 0, np.maximum(seen, 1e-300), unseen))
-
-
-def train(codes: np.ndarray, counts: np.ndarray, width: int = 32, steps: int = 800, batch: int = 4096, noise: int = 64, seed: int = 5) -> tuple[np.ndarray, ...]:
-    """Vectors by noise-contrastive estimation from counts of (u, v, w) codes.
-
-    All counts are read in whole passes: each step takes up to ``batch`` contexts (u, v) with the counts
-    of every unit that followed them, and passes go on until there are ``steps`` steps at least. A logistic
-    loss tells the units that followed from ``noise`` draws of the unit frequencies; with few units the loss
-    of the noise is taken in expectation, which all draws together would approach. Adam updates.
-    """
-    rng = np.random.default_rng(seed)
-    freq = np.full(UNITS, 0.5)
-    np.add.at(freq, codes % UNITS, counts)
-    p_noise = freq / freq.sum()
+    classes: int
+    step: int
+
+    def hidden(self, contexts: np.ndarray) -> np.ndarray:
+        h = self.context[contexts[:, 0]] * self.position[0]
+        for k in range(1, CONTEXT):
+            h += self.context[contexts[:, k]] * self.position[k]
+        return h
+
+    def log_probabilities(self, contexts: np.ndarray, units: np.ndarray) -> np.ndarray:
+        """Normalised natural logs of units after contexts: a product with all classes, and one with the units of each class."""
+        h = self.hidden(contexts)
+        cls = units // self.step
+        s = h @ self.out[: self.classes].T + self.bias[: self.classes]
+        out = s[np.arange(len(h)), cls] - _log_sum(s)
+        order = np.argsort(cls, kind="stable")
+        ends = np.searchsorted(cls[order], np.arange(self.classes + 1))
+        for c in np.flatnonzero(np.diff(ends)):
+            own = order[ends[c] : ends[c + 1]]
+            a, b = self.classes + c * self.step, min(self.classes + (c + 1) * self.step, len(self.out))
+            s = h[own] @ self.out[a:b].T + self.bias[a:b]
+            out[own] += s[np.arange(len(own)), units[own] - c * self.step] - _log_sum(s)
+        return out
+
+
+def _log_sum(s: np.ndarray) -> np.ndarray:
+    top = s.max(axis=1, keepdims=True)
+    return np.log(np.exp(s - top).sum(axis=1)) + top[:, 0]
+
+
+def contexts_of(units: np.ndarray, at: np.ndarray, start: int) -> np.ndarray:
+    """The ``CONTEXT`` units before each token, the nearest first; ``start`` where the text has fewer."""
+    own = np.arange(len(units)) - np.repeat(at[:-1], np.diff(at))
+    out = np.full((len(units), CONTEXT), start, np.int64)
+    for k in range(CONTEXT):
+        here = own > k
+        out[here, k] = units[np.flatnonzero(here) - k - 1]
+    return out
+
+
+def new_net(units: Units, seed: int = 5) -> Net:
+    """A net that gives the unit frequencies, whatever the context."""
+    n, step = len(units.mass), units.step
+    classes = -(-n // step)
+    own = np.add.reduceat(units.mass, np.arange(0, n, step))
+    bias = np.concatenate([np.log(own / own.sum()), np.log(units.mass / np.repeat(own, step)[:n])])
     f4 = np.float32
-    par = [rng.normal(0, 0.1, (UNITS + 1, width)).astype(f4), rng.normal(0, 0.1, (UNITS + 1, width)).astype(f4), rng.normal(0, 0.1, (UNITS, width)).astype(f4), np.log(p_noise).astype(f4)]
-    if not len(codes):
-        return tuple(par)
-    met, row = np.unique(codes // UNITS, return_inverse=True)
-    batches = -(-len(met) // batch)
-    # share of all counts, by context and unit; at most UNITS squared contexts and those with START
-    share = np.zeros((len(met), UNITS))
-    np.add.at(share, (row, codes % UNITS), counts * (batches / counts.sum()))
-    mass, share = share.sum(axis=1, keepdims=True).astype(f4), share.astype(f4)
-    m1, m2 = [np.zeros_like(p) for p in par], [np.zeros_like(p) for p in par]
-    log_k, often = np.log(noise * p_noise).astype(f4), (noise * p_noise).astype(f4)
-
-    def spread(places: np.ndarray) -> np.ndarray:
-        one = np.zeros((len(places), UNITS + 1), f4)
-        one[np.arange(len(places)), places] = 1
-        return one.T
-
-    steps = -(-steps // batches) * batches
-    for step in range(1, steps + 1):
-        k = (step - 1) % batches
-        if k == 0:
-            order = rng.permutation(len(met))
-        own = order[k::batches]
-        u, v = met[own] // (UNITS + 1), met[own] % (UNITS + 1)
-        h = par[0][u] + par[1][v]
-        s = np.clip(h @ par[2].T + par[3] - log_k, -30, 30)
-        odds = 1 / (1 + np.exp(-s))  # that a unit here is data
-        rise = share[own] * (1 - odds) - mass[own] * odds * often  # of the log-likelihood, by unit: those that followed, then noise
-        g_h = rise @ par[2]
-        grad = [spread(u) @ g_h, spread(v) @ g_h, rise.T @ h, rise.sum(axis=0)]
-        rate = f4(0.03 * (1 - step / (steps + 1)) + 0.001)
-        for k, g in enumerate(grad):
-            m1[k] = 0.9 * m1[k] + 0.1 * g
-            m2[k] = 0.99 * m2[k] + 0.01 * g * g
-            par[k] = (par[k] + rate * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-10)).astype(f4)
-    return tuple(p.astype(float) for p in par)
+    rng = np.random.default_rng(seed)
+    return Net(rng.normal(0, 0.3, (n + 1, WIDTH)).astype(f4), np.full((CONTEXT, WIDTH), 0.5, f4), np.zeros((classes + n, WIDTH), f4), bias.astype(f4), classes, step)
+
+
+class Trainer:
+    """Noise-contrastive steps over a net, with a step size for each row by its past gradients."""
+
+    def __init__(self, net: Net, units: Units, seed: int, rate: float = 0.15):
+        self.net, self.rate = net, np.float32(rate)
+        self.rng = np.random.default_rng(seed)
+        n, step, f4 = len(units.mass), net.step, np.float32
+        own = np.add.reduceat(units.mass, np.arange(0, n, step))
+        # noise is drawn from tables of draws, in which every class, and every unit of a class, stands once at least
+        self.class_draws, self.class_log = self._table(own)
+        tables = [self._table(units.mass[a : a + step]) for a in range(0, n, step)]
+        self.unit_draws = np.array([t + k * step for k, (t, _) in enumerate(tables)])
+        self.unit_log = np.concatenate([x for _, x in tables]).astype(f4)
+        self.past = [np.full(len(x), 1e-2, f4) for x in (net.context, net.out)]
+        self.met = [np.zeros(len(x), f4) for x in (net.context, net.out)]
+        self.past_position = f4(1.0)
+
+    @staticmethod
+    def _table(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Draws by mass, and the log of each one's share of the table."""
+        times = np.maximum(1, np.round(mass / mass.sum() * _DRAWS)).astype(np.int64)
+        table = np.repeat(np.arange(len(mass)), times)
+        table = table[np.linspace(0, len(table) - 1, _DRAWS).astype(np.int64)] if len(mass) <= _DRAWS else table
+        share = np.bincount(table, minlength=len(mass)) / len(table)
+        return table, np.log(np.maximum(share, 0.5 / len(table)))
+
+    def _add(self, which: int, rows: np.ndarray, grads: np.ndarray, bias: np.ndarray | None = None) -> None:
+        """One step up along the sums of gradients by row."""
+        order = np.argsort(rows)
+        ordered = rows[order]
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        own, place = ordered[new], np.empty(len(rows), np.int32)
+        place[order] = np.cumsum(new, dtype=np.int32) - 1
+        # one weighted count over (row, component) is the sum by row
+        flat = (place * np.int32(WIDTH))[:, None] + np.arange(WIDTH, dtype=np.int32)
+        total = np.bincount(flat.ravel(), grads.ravel(), len(own) * WIDTH).reshape(-1, WIDTH).astype(np.float32)
+        target = self.net.context if which == 0 else self.net.out
+        past = self.past[which]
+        past[own] += (total * total).mean(axis=1)
+        size = self.rate / np.sqrt(past[own])
+        target[own] += total * size[:, None]
+        self.met[which][own] += 1
+        if bias is not None:
+            self.net.bias[own] += size * np.float32(0.3) * np.bincount(place, bias, len(own)).astype(np.float32)
+
+    def step(self, contexts: np.ndarray, units: np.ndarray) -> None:
+        net, f4 = self.net, np.float32
+        h = net.hidden(contexts)
+        cls = units // net.step
+        # classes: all tokens of the step against the same draws
+        noise = self.class_draws[self.rng.integers(0, len(self.class_draws), CLASS_NOISE)]
+        k = f4(np.log(CLASS_NOISE))
+        q = net.out[cls]
+        up = 1 / (1 + np.exp((h * q).sum(axis=1) + net.bias[cls] - self.class_log[cls].astype(f4) - k))
+        down = -1 / (1 + np.exp(-(h @ net.out[noise].T + net.bias[noise] - self.class_log[noise].astype(f4) - k)))
+        g_h = up[:, None] * q + down @ net.out[noise]
+        # units: each token against draws of its own class
+        drawn = self.unit_draws[cls[:, None], self.rng.integers(0, self.unit_draws.shape[1], (len(units), UNIT_NOISE))]
+        rows = net.classes + np.concatenate([units[:, None], drawn], axis=1)
+        qs = net.out[rows]
+        s = np.einsum("bd,bkd->bk", h, qs) + net.bias[rows] - self.unit_log[rows - net.classes] - f4(np.log(UNIT_NOISE))
+        rise = -1 / (1 + np.exp(-s))
+        rise[:, 0] += 1
+        g_h += np.einsum("bk,bkd->bd", rise, qs)
+        grads = (rise[:, :, None] * h[:, None, :]).reshape(-1, WIDTH)
+        out_rows = np.concatenate([rows.ravel(), cls, noise]).astype(np.int32)
+        out_grads = np.concatenate([grads, up[:, None] * h, down.T @ h])
+        out_bias = np.concatenate([rise.ravel(), up, down.sum(axis=0)])
+        r = net.context[contexts]
+        g_position = np.einsum("bd,bkd->kd", g_h, r)
+        self._add(1, out_rows, out_grads, out_bias)
+        self._add(0, contexts.ravel().astype(np.int32), (g_h[:, None, :] * net.position[None]).reshape(-1, WIDTH))
+        self.past_position += float((g_position**2).mean())
+        net.position += f4(0.05) * g_position / np.sqrt(self.past_position)
+
+
+# ---- what runs in Spark's tasks ----
+
+
+def _batch(columns: list, names: str) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "double": pa.float64()}
+    pairs = [c.split() for c in names.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(x, kinds[k]) for x, (_, k) in zip(columns, pairs, strict=True)], [n for n, _ in pairs])
+
+
+class _Held:
+    """Rows of integers that are counted before they leave a task."""
+
+    def __init__(self, names: str):
+        self.names, self.parts, self.size = names, [], 0
+
+    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append(columns)
+        self.size += len(columns[0])
+        if self.size > _HELD:
+            yield from self.out()
+
+    def out(self) -> Iterator[pa.RecordBatch]:
+        if not self.size:
+            return
+        columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
+        self.parts, self.size = [], 0
+        order = np.lexsort(columns[::-1]) if len(columns) > 1 else np.argsort(columns[0])
+        columns = [c[order] for c in columns]
+        new = np.ones(len(order), bool)
+        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+        first = np.flatnonzero(new)
+        times = np.diff(np.append(first, len(order)))
+        for a in range(0, len(first), 1 << 16):
+            own = first[a : a + (1 << 16)]
+            yield _batch([*(c[own] for c in columns), times[a : a + (1 << 16)]], self.names)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, n) of training texts, combined before the shuffle."""
-    seen: Counter = Counter()
-
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([t.decode() for t in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], ["token", "n"])
-
+    """(token, last bytes, n) of texts."""
+    held = _Held("w long, last int, n long")
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            seen.update(tokens_of(text))
-            if len(seen) > _HELD:
-                yield out()
-                seen.clear()
-    if seen:
-        yield out()
-
-
-class _Reader:
-    """Units of batches of texts, with the classes of met words kept."""
-
-    def __init__(self, units: dict[bytes, int]):
-        self.units = dict(units)
-        self.fixed = len(units)
-
-    def read(self, texts: list[str | None]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-        """Tokens of each text, the units of all of them in a row, and the texts' offsets."""
-        if len(self.units) > self.fixed + _HELD:
-            self.units = dict(list(self.units.items())[: self.fixed])
-        words = [tokens_of(t) for t in texts]
-        at = np.concatenate([[0], np.cumsum([len(w) for w in words])])
-        known, out = self.units, np.empty(at[-1], np.int64)
-        for k, own in enumerate(words):
-            got = list(map(known.get, own))
-            if None in got:
-                for j, g in enumerate(got):
-                    if g is None:
-                        w = own[j]
-                        got[j] = known[w] = SHORTLIST + class_of(w)
-            out[at[k] : at[k + 1]] = got
-        return words, out, at
-
-
-def contexts(units: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Code of the two units before each position; texts begin with ``START`` twice."""
-    v = np.empty_like(units)
-    u = np.empty_like(units)
-    v[1:], u[2:] = units[:-1], units[:-2]
-    first = at[:-1]
-    v[first], u[first] = START, START
-    second = first[np.diff(at) > 1] + 1
-    u[second] = START
-    return u * (UNITS + 1) + v
-
-
-def _unit_counts(units):
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, held = _Reader(units.value), []
+        for _, _, r in reads(batch.column(0)):
+            yield from held.add(r.hashes.view(np.int64), r.last)
+    yield from held.out()
 
-        def out() -> pa.RecordBatch:
-            codes, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(n, pa.int64())], ["code", "n"])
 
-        size = 0
+def _pairs(units):
+    """(w, g, n) of the tokens outside the shortlist with what stands before them."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held = units.value, _Held("w long, g int, n long")
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                _, got, at = reader.read(batch.column(0).slice(k, 256).to_pylist())
-                held.append(contexts(got, at) * UNITS + got)
-                size += len(got)
-                if size > 4_000_000:
-                    yield out()
-                    held, size = [], 0
-        if held:
-            yield out()
+            for _, _, r in reads(batch.column(0)):
+                rare = known.of(r)[1] < 0
+                yield from held.add(r.hashes[rare].view(np.int64), memory_of(r, known.memory)[rare])
+        yield from held.out()
 
     return over
 
 
-_ROW = "rid long, token string, n long, cls int, doc_id long, held boolean, n_tokens long, n_known long, base double, score double"
+_SLICES = 32
+_PIECE = "kind int, slice int, weight binary, content binary"
 
 
-def _scored(model, frequent, floor: float):
-    """A row for each text with what frequent tokens give, and one for each of its distinct rarer tokens."""
+def _bounds(n: int) -> list[int]:
+    return [n * k // _SLICES for k in range(_SLICES + 1)]
+
+
+def _trained(units, steps: int):
+    """Vectors of a part, in slices of rows with how often each was met, and its counts of contexts."""
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, counts = model.value, frequent.value
-        reader = _Reader(net.units)
-        # index of each frequent token, then its count and what its class gives it
-        place = {t: k for k, t in enumerate(counts)}
-        c = np.array([*counts.values(), 0.0])
-        share = np.array([0.0 if t in net.units else float(net.in_class(class_of(t), n)) for t, n in counts.items()] + [0.0])
-        base = np.log10(c + 0.1) - floor
-        base[-1] = 0.0
-        none = len(place)
+        from pyspark import TaskContext
+
+        known = units.value
+        start = len(known.mass)
+        seed = TaskContext.get().partitionId()
+        trainer, order = Trainer(new_net(known), known, seed), np.random.default_rng(seed)
+        contexts = np.zeros(known.memory, np.int64)
+        kept, done, size = [], 0, 0
+
+        def learn(u: np.ndarray, at: np.ndarray) -> int:
+            ctx, turn = contexts_of(u, at, start), order.permutation(len(u))
+            for a in range(0, len(u), BATCH):
+                own = turn[a : a + BATCH]
+                trainer.step(ctx[own], u[own])
+            return -(-len(u) // BATCH)
+
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                words, units, at = reader.read(part.column(3).to_pylist())
-                code = contexts(units, at)
-                distinct, back = np.unique(code, return_inverse=True)
-                log_p = net.log_probabilities(distinct // (UNITS + 1), distinct % (UNITS + 1)) / np.log(10)
-                spots = np.fromiter((place.get(w, none) for own in words for w in own), np.int64, at[-1])
-                sums = [np.add.reduceat(x, at[:-1]) for x in (log_p[back, units] + share[spots], base[spots], (spots != none).astype(np.int64))]
-                rid, ids, held = (part.column(k).to_pylist() for k in range(3))
-                n = np.diff(at).tolist()
-                rows: list[list] = [[] for _ in range(4)]
-                for k, own in enumerate(words):
-                    rare = Counter(w for w, s in zip(own, spots[at[k] : at[k + 1]], strict=True) if s == none)
-                    rows[0] += [rid[k]] * len(rare)
-                    rows[1] += [w.decode() for w in rare]
-                    rows[2] += rare.values()
-                    rows[3] += [class_of(w) for w in rare]
-                blank = [None] * len(rows[0])
-                # no word holds a blank: a text's own row meets no count and has a partition of its own
-                rows[0] += rid
-                rows[1] += [f" {r}" for r in rid]
-                rows[2] += [0] * len(rid)
-                rows[3] += [0] * len(rid)
-                kinds = [pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-                tail = [blank + list(x) for x in (ids, held, n, sums[2].tolist(), sums[1].tolist(), sums[0].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip([*rows, *tail], kinds, strict=True)], [c.split()[0] for c in _ROW.split(", ")])
+            for _, _, r in reads(batch.column(0)):
+                u = known.of(r)[0].astype(np.int32)
+                contexts += np.bincount(memory_of(r, known.memory), minlength=known.memory)
+                done += learn(u, r.at)
+                size += len(u)
+                # a small part is kept for further passes; a large one makes its steps in one
+                if kept is not None:
+                    kept.append((u, r.at))
+                    kept = None if done >= steps else kept
+        if not size:
+            return
+        while kept and done < steps:
+            for u, at in kept:
+                done += learn(u, at)
+        net = trainer.net
+        for kind, rows, met in ((0, net.context, trainer.met[0]), (1, np.concatenate([net.out, net.bias[:, None]], axis=1), trainer.met[1])):
+            cut = _bounds(len(rows))
+            for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
+                yield _batch([[kind], [k], [(met[a:b] + 1e-3).astype("<f4").tobytes()], [rows[a:b].astype("<f2").tobytes()]], _PIECE)
+        yield _batch([[2], [0], [np.full(CONTEXT, size, "<f4").tobytes()], [net.position.astype("<f2").tobytes()]], _PIECE)
+        cut = _bounds(known.memory)
+        for k, (a, b) in enumerate(zip(cut, cut[1:], strict=False)):
+            yield _batch([[3], [k], [b""], [contexts[a:b].astype("<u4").tobytes()]], _PIECE)
 
     return over
 
 
-def fit(docs: DataFrame) -> tuple[Model, DataFrame, int, int]:
-    """The model of the texts (column ``text``), the table ``token, c`` of all their tokens, N and V."""
-    spark = docs.sparkSession
-    counts = docs.select("text").mapInArrow(_counted, "token string, n long").groupBy("token").agg(F.sum("n").alias("c"))
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of the same rows from all parts, as one: means by weight, or sums of counts."""
+    sums: dict[tuple[int, int], list] = {}
+    for batch in batches:
+        for kind, k, weight, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if kind == 3:
+                value, w = np.frombuffer(content, "<u4").astype(np.int64), 0
+            else:
+                w = np.frombuffer(weight, "<f4").astype(float)
+                value = np.frombuffer(content, "<f2").reshape(len(w), -1) * w[:, None] if len(w) else np.zeros((0, 1))
+            have = sums.get((kind, k))
+            sums[kind, k] = [value, w] if have is None else [have[0] + value, have[1] + w]
+    for (kind, k), (value, w) in sums.items():
+        content = value.astype("<i8") if kind == 3 else (value / w[:, None] if len(w) else value).astype("<f4")
+        yield _batch([[kind], [k], [b""], [content.tobytes()]], _PIECE)
+
+
+def _packed(*names: str):
+    """Columns of integers as bytes, a row for each batch."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.column(k).to_numpy().astype("<i8").tobytes()], pa.binary()) for k in range(len(names))], list(names))
+
+    return over
+
+
+def _arrays(df: DataFrame) -> list[np.ndarray]:
+    """Columns of long integers on the driver, as packed bytes; only for tables of a known bound."""
+    names = df.columns
+    rows = df.mapInArrow(_packed(*names), ", ".join(f"{n} binary" for n in names)).collect()
+    return [np.frombuffer(b"".join(r[n] for r in rows), "<i8") for n in names]
+
+
+def fit(texts: DataFrame) -> tuple[Units, Net, np.ndarray, DataFrame, int, int]:
+    """From the column ``text``: units, net, log10 of rest(g), the table ``w, c, before`` of tokens outside the shortlist, N and V.
+
+    ``before`` maps contexts g to the first term of the memory.
+    """
+    spark = texts.sparkSession
+    sc = spark.sparkContext
+    texts = texts.select("text")
+    counts = texts.mapInArrow(_counted, "w long, last int, n long").groupBy("w").agg(F.sum("n").alias("c"), F.max("last").alias("last"))
     counts = stored(counts, "lm-counts")
-    total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
+    total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
     n, v = total["n"] or 0, total["v"]
-    top = [r["token"].encode() for r in counts.where("token <> ''").orderBy(F.col("c").desc(), "token").limit(SHORTLIST - 1).collect()]
-    units = {t: k for k, t in enumerate([END, *top])}
-    # classes of the others: totals, types, and words seen once and twice
-    listed = [t.decode() for t in units]
-
-    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # the least count of the shortlist, from a histogram of eight steps to each doubling
+    histogram = counts.groupBy(F.floor(F.log2("c") * 8).cast("long").alias("k")).agg(F.count("*").alias("n")).collect()
+    least, room = 2**62, SHORTLIST
+    for r in sorted(histogram, key=lambda r: -r["k"]):
+        room -= r["n"]
+        if room < 0:
+            break
+        least = int(np.ceil(2 ** (r["k"] / 8) - 1e-9))
+    shortlisted = (F.col("c") >= max(least, 3)) | (F.col("w") == END)
+    hashes, seen = _arrays(counts.where(shortlisted).select("w", "c"))
+    if not len(hashes):
+        hashes, seen = np.array([END], "<i8"), np.zeros(1, "<i8")
+    buckets = 1 << int(np.clip(np.round(np.log2(max(v, 1)) / 2), 4, np.log2(BUCKETS)))
+    per_bucket = counts.where(~shortlisted).groupBy(F.col("last").bitwiseAND(F.lit(buckets - 1)).cast("long").alias("b")).agg(F.sum("c").alias("n"), F.count("*").alias("v"))
+    own, sums, kinds = _arrays(per_bucket)
+    totals, types = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
+    totals[own], types[own] = sums, kinds
+    discount = min(max(total["n1"] / max(total["n1"] + 2 * total["n2"], 1), 0.1), 0.95)
+    memory = 1 << int(np.clip(np.ceil(np.log2(max(n, 1) / 128)), 6, np.log2(MEMORY)))
+    units = units_of(hashes.view(np.uint64), seen, totals, types, discount, memory)
+    sent = sc.broadcast(units)
+    # the net: parts of the corpus, each large enough to learn from
+    parts = texts.coalesce(max(1, n // PART))
+    pieces = parts.mapInArrow(_trained(sent, STEPS), _PIECE).repartition(_SLICES, "kind", "slice").mapInArrow(_averaged, _PIECE)
+    got = {(r["kind"], r["slice"]): r["content"] for r in pieces.select("kind", "slice", "content").collect()}
+    net, contexts = new_net(units), np.zeros(memory, np.int64)
+    if got:
+        joined = [b"".join(got.get((kind, k), b"") for k in range(_SLICES)) for kind in range(4)]
+        out = np.frombuffer(joined[1], "<f4").reshape(-1, WIDTH + 1)
+        net = Net(np.frombuffer(joined[0], "<f4").reshape(-1, WIDTH), np.frombuffer(joined[2], "<f4").reshape(-1, WIDTH), out[:, :WIDTH].copy(), out[:, WIDTH].copy(), net.classes, net.step)
+        contexts = np.frombuffer(joined[3], "<i8")
+    # the memory: counts of tokens outside the shortlist by what stands before them
+    after = sc.broadcast(np.maximum(contexts, 1))
+    each = texts.mapInArrow(_pairs(sent), "w long, g int, n long").groupBy("w", "g").agg(F.sum("n").alias("n"))
+    again = F.when(F.col("n") > 1, F.struct("g", (F.col("n") - 1).alias("m")))
+    by_token = each.groupBy("w").agg(F.sum("n").alias("c"), F.collect_list(again).alias("again"))
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """``again`` with its counts over those of the contexts."""
         for batch in batches:
-            cls = [class_of(t.encode()) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(cls, pa.int32()), batch.column(1)], ["cls", "c"])
-
-    per_class = counts.where(~F.col("token").isin(listed)).select("token", "c").mapInArrow(classed, "cls int, c long").groupBy("cls").agg(
-        F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")
-    )
-    totals, types, discounts = np.zeros(CLASSES), np.zeros(CLASSES), np.full(CLASSES, 0.5)
-    for r in per_class.collect():
-        totals[r["cls"]], types[r["cls"]] = r["n"], r["v"]
-        discounts[r["cls"]] = min(max(r["n1"] / max(r["n1"] + 2 * r["n2"], 1), 0.1), 0.95)
-    sent = spark.sparkContext.broadcast(units)
-    grams = docs.select("text").mapInArrow(_unit_counts(sent), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Bytes of 32-bit codes and 64-bit counts: at most UNITS cubed pairs of them reach the driver."""
+            lists = batch.column(2)
+            inner = lists.values
+            g, m = (inner.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            entries = pa.MapArray.from_arrays(lists.offsets, pa.array(g, pa.int32()), pa.array(m / after.value[g], pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), entries, lists], ["w", "c", "before", "again"])
+
+    table = stored(by_token.mapInArrow(shares, "w long, c long, before map<int,double>, again array<struct<g:int,m:bigint>>"), "lm-memory")
+    taken = table.select(F.explode("again").alias("x")).groupBy(F.col("x.g").cast("long").alias("g")).agg(F.sum("x.m").alias("m"))
+    g, m = _arrays(taken)
+    rest = np.ones(memory)
+    rest[g] = 1 - m / np.maximum(contexts[g], 1)
+    return units, net, np.log10(np.maximum(rest, 1e-12)), table.select("w", "c", "before"), n, v
+
+
+_ROW = "w long, rid long, x long, doc_id long, held int, n_tokens long, n_known long, base double, score double"
+
+
+def _scored(units, net, rest, floor: float):
+    """A row for each text with what its frequent tokens give, and one for each other token, which meets its counts in a join.
+
+    ``x`` of a token holds its context g, its bucket, and log10 of rest(g) times the bucket's probability in 1/2**26.
+    """
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, model, left = units.value, net.value, rest.value
+        start = len(known.mass)
+        base = np.append(np.log10(known.counts + 0.1) - floor, 0.0)
+        known_count = np.append((known.counts > 0).astype(np.int64), 0)
         for batch in batches:
-            raw = [batch.column(0).to_numpy().astype("<i4").tobytes(), batch.column(1).to_numpy().astype("<i8").tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in raw], ["codes", "counts"])
+            for a, b, r in reads(batch.column(3)):
+                rid, ids, held = (batch.column(k).slice(a, b - a) for k in range(3))
+                u, spot, bucket = known.of(r)
+                g, ctx = memory_of(r, known.memory), contexts_of(u, r.at, start)
+                log_p = np.empty(len(u))
+                for k in range(0, len(u), _SCORED):
+                    log_p[k : k + _SCORED] = model.log_probabilities(ctx[k : k + _SCORED], u[k : k + _SCORED])
+                log_p = log_p / np.log(10) + left[g]
+                rare = np.flatnonzero(spot < 0)
+                first = r.at[:-1]
+                sums = [np.add.reduceat(x, first) for x in (np.where(spot < 0, 0.0, log_p), base[spot], known_count[spot])]
+                rows = np.repeat(np.asarray(rid), np.diff(r.at))
+                fine = np.minimum(np.round(-log_p[rare] * _FINE), 2**32 - 1).astype(np.int64)
+                x = (g[rare] << 43) | (bucket[rare] << 32) | fine
+                blank = pa.nulls(len(rare), pa.int64())
+                # a text's own row meets no count; its key is its number, so it has a partition of its own
+                texts = np.asarray(rid)
+                own = S.mix(texts.astype(_U) + _U(2)).view(np.int64)
+                columns = [
+                    pa.array(np.concatenate([r.hashes[rare].view(np.int64), own])), pa.array(np.concatenate([rows[rare], texts])), pa.array(np.concatenate([x, np.full(b - a, -1)])),
+                    pa.concat_arrays([blank, ids]), pa.concat_arrays([blank.cast(pa.int32()), held]), pa.concat_arrays([blank, pa.array(np.diff(r.at))]), pa.concat_arrays([blank, pa.array(sums[2])]),
+                    pa.concat_arrays([blank.cast(pa.float64()), pa.array(sums[1])]), pa.concat_arrays([blank.cast(pa.float64()), pa.array(sums[0])]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _ROW.split(", ")])
 
-    parts = grams.mapInArrow(packed, "codes binary, counts binary").collect()
-    codes = np.frombuffer(b"".join(r["codes"] for r in parts), "<i4")
-    n_codes = np.frombuffer(b"".join(r["counts"] for r in parts), "<i8")
-    order = np.argsort(codes)
-    vectors = train(codes[order].astype(np.int64), n_codes[order])
-    return Model(units, *vectors, totals, types, discounts), counts, n, v
+    return over
 
 
 def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10) -> DataFrame:
     """Scores of all texts by a model of those whose id's checksum is not 0 modulo ``folds``."""
     spark = docs.sparkSession
     ship(spark)
-    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds == 0
+    held = (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds == 0).cast("int")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("held", held)
-    model, counts, n, v = fit(rows.where(~F.col("held")))
+    units, net, rest, table, n, v = fit(rows.where("held = 0"))
     floor = float(np.log10(n + 0.1 * (v + 1)))
-    # shortlisted tokens are all among the frequent ones, also where none is frequent
-    often = (F.col("c") * FREQUENT >= n) | F.col("token").isin([t.decode() for t in model.units])
-    frequent = {r["token"].encode(): r["c"] for r in counts.where(often).collect()}
     sc = spark.sparkContext
     apart = rows.withColumn("rid", F.monotonically_increasing_id()).select("rid", "doc_id", "held", "text")
-    parts = apart.mapInArrow(_scored(sc.broadcast(model), sc.broadcast(frequent), floor), _ROW)
-    rarer = counts.where(~often)
-    each = parts.join(rarer.hint("shuffle_hash"), "token", "left")
-
-    def by_class(values: np.ndarray):
-        return F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.col("cls") + 1)
-
-    total, d = by_class(model.totals), by_class(model.discounts)
-    share = F.when(F.col("c").isNotNull(), (F.col("c") - d) / total).when(total > 0, d * by_class(model.types) / total).otherwise(1.0)
-    rare = F.col("n") > 0
-    own_base = F.when(rare, F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 0.1) - floor)).otherwise(F.col("base"))
-    own_score = F.when(rare, F.col("n") * F.log10(share)).otherwise(F.col("score"))
-    known = F.when(rare, F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).otherwise(F.col("n_known"))
+    parts = apart.mapInArrow(_scored(sc.broadcast(units), sc.broadcast(net), sc.broadcast(rest), floor), _ROW)
+    each = parts.join(table.hint("shuffle_hash"), "w", "left")
+    token, x = F.col("x") >= 0, F.col("x")
+    g = F.shiftright(x, 43).cast("int")
+    bucket = F.shiftright(x, 32).bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1
+
+    def by_bucket(values: np.ndarray):
+        return F.element_at(F.array(*[F.lit(float(y)) for y in values]), bucket)
+
+    size, d = np.maximum(units.totals, 1), units.discount
+    share = F.when(F.col("c").isNotNull(), (F.col("c") - d) * by_bucket(1 / size)).otherwise(by_bucket(np.where(units.totals > 0, d * units.types / size, 1.0)))
+    net_p = F.pow(F.lit(10.0), -x.bitwiseAND(F.lit(2**32 - 1)) / _FINE) * share
+    score = F.when(token, F.log10(F.coalesce(F.try_element_at("before", g), F.lit(0.0)) + net_p)).otherwise(F.col("score"))
+    base = F.when(token, F.log10(F.coalesce("c", F.lit(0)) + 0.1) - floor).otherwise(F.col("base"))
+    known = F.when(token, F.col("c").isNotNull().cast("long")).otherwise(F.col("n_known"))
     return each.groupBy("rid").agg(
-        F.max("doc_id").alias("doc_id"), F.max("held").alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum(known).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"), F.sum(own_base).alias("base_score"), F.sum(own_score).alias("score"),
+        F.max("doc_id").alias("doc_id"), (F.max("held") == 1).alias("held_out"), F.max("n_tokens").alias("n_tokens"), F.sum(known).alias("n_known"),
+        F.lit(n).cast("long").alias("train_tokens"), F.sum(base).alias("base_score"), F.sum(score).alias("score"),
     ).drop("rid")
