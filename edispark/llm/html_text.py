@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edispark.llm.html_blocks import Block, blocks, named
+from edispark.llm.html_blocks import Block, Node, blocks, named
 from edispark.shipping import ship
 
 #: What words in class, id and role attributes say about an element.
@@ -61,28 +61,54 @@ def _said(attrs: str) -> tuple[str, ...]:
     return tuple(sorted(out))
 
 
-@lru_cache(maxsize=65536)
-def path_features(path: tuple[tuple[str, str], ...]) -> tuple[str, ...]:
-    out = {"bias"}
-    inner: str | None = None
-    for tag, attrs in path:
+#: What an element inherits: (features of it and all elements around it, what the innermost telling one says).
+State = tuple[frozenset[str], str | None]
+_NO_STATE: State = (frozenset(), None)
+_NEXT: dict[tuple, State] = {}
+
+
+def _inherited(up: State, tag: str, said: tuple[str, ...]) -> State:
+    got = _NEXT.get((up, tag, said))
+    if got is None:
+        out, inner = set(up[0]), up[1]
         if tag in _ANCESTORS:
             out.add(f"in:{tag}")
-        said = _said(attrs)
         out |= {f"says:{s}" for s in said}
         for s in said:
-            if s != "main":
+            if s != "main" or inner is None:
                 inner = s
-            elif inner is None:
-                inner = s
-        if tag in ("nav", "aside", "footer", "form"):
-            inner = tag
-        elif tag in ("article", "main"):
+        if tag in ("nav", "aside", "footer", "form", "article", "main"):
             inner = tag
-    if path:
-        out.add(f"leaf:{path[-1][0]}")
-        out |= {f"leafsays:{s}" for s in _said(path[-1][1])}
-    out.add(f"inner:{inner}")
+        if len(_NEXT) > 100_000:
+            _NEXT.clear()
+        got = _NEXT[up, tag, said] = (frozenset(out), inner)
+    return got
+
+
+def state_of(node: Node | None) -> State:
+    """An element's state from the next one around it whose state is known; each element is looked at once."""
+    waiting = []
+    while node is not None and node.state is None:
+        waiting.append(node)
+        node = node.up
+    state = _NO_STATE if node is None else node.state
+    for e in reversed(waiting):
+        state = e.state = _inherited(state, e.tag, _said(e.attrs))
+    return state
+
+
+def path_key(node: Node | None) -> tuple:
+    """What ``path_features`` depends on."""
+    return (state_of(node), *((node.tag, _said(node.attrs)) if node is not None else (None, ())))
+
+
+@lru_cache(maxsize=65536)
+def path_features(key: tuple) -> tuple[str, ...]:
+    (inherited, inner), tag, said = key
+    out = {"bias", *inherited, f"inner:{inner}"}
+    if tag is not None:
+        out.add(f"leaf:{tag}")
+        out |= {f"leafsays:{s}" for s in said}
     if not out & {f"says:{s}" for s in SAYS if s != "main"} and not out & {"in:nav", "in:aside", "in:footer", "in:form", "in:header", "in:dialog"}:
         out.add("plain")
     return tuple(sorted(out))
@@ -112,11 +138,12 @@ class Crf:
     _paths: dict = field(default_factory=dict, repr=False)
 
     def score(self, b: Block, first: bool) -> float:
-        got = self._paths.get(b.path)
+        key = path_key(b.node)
+        got = self._paths.get(key)
         if got is None:
             if len(self._paths) > 50_000:
                 self._paths.clear()
-            got = self._paths[b.path] = sum(self.weights.get(f, 0.0) for f in path_features(b.path))
+            got = self._paths[key] = sum(self.weights.get(f, 0.0) for f in path_features(key))
         return got + sum(self.weights.get(f, 0.0) for f in text_features(b, first))
 
     def decode(self, page: list[Block]) -> list[bool]:
@@ -145,7 +172,7 @@ def train(pages: list[tuple[list[Block], list[bool]]], steps: int = 120, rate: f
     rows, cols, place = [], [], 0
     for page, _ in pages:
         for k, b in enumerate(page):
-            for f in (*path_features(b.path), *text_features(b, k == 0)):
+            for f in (*path_features(path_key(b.node)), *text_features(b, k == 0)):
                 rows.append(place)
                 cols.append(names.setdefault(f, len(names)))
             place += 1

@@ -10,13 +10,15 @@ with more words missing than that are not aligned. The differences are kept.
 
 Defined cases: a null or empty text and one without a legal term give no rows; equal rows give equal
 rows each; blocks that no template is confirmed for give a row with the best template and
-``confirmed`` false; a place inside a confirmed notice begins no block of its own; further
+``confirmed`` false, and such blocks that overlap are one row, with the template of the first; a place inside a
+confirmed notice begins no block of its own; words are parted by any white space, a no-break space too; further
 columns are ignored; texts are read whole.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
@@ -91,6 +93,7 @@ class Scanner:
             own = zstandard.ZstdCompressionDict(" ".join(words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.templates.append((name, words, zstandard.ZstdCompressor(level=level, dict_data=own)))
         self.longest = max(len(w) for _, w, _ in self.templates)
+        self.wanted = [(len(w), frozenset(w), int(tolerance * len(w))) for _, w, _ in self.templates]
         self.anchors = {}
         for _, words, _ in self.templates:
             for k in anchors(words, tolerance):
@@ -134,8 +137,19 @@ class Scanner:
         missed, _, _, first, last, row = min(tried, key=lambda x: x[:3])
         return missed, first, last, row
 
+    def _hopeless(self, spans: list, begin: int, at: int) -> bool:
+        """Whether every template has more distinct words missing from its block than it may have differences."""
+        have, upto = set(), begin
+        for n, words, spare in sorted(self.wanted, key=lambda x: x[0]):
+            stop = min(at + n + n // 4 + 2, len(spans))
+            have.update(s[2] for s in spans[upto:stop])
+            upto = max(upto, stop)
+            if len(words - have) <= spare:
+                return False
+        return True
+
     def scan(self, text: str) -> Iterator[dict]:
-        spans = [(m.start(), m.end(), normal(m[0])) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+        spans = [(m.start(), m.end(), normal(m[0])) for m in re.finditer(r"\S+", text)]
         spans = [s for s in spans if s[2]]
         # places: word, whether a legal term is there, words before it that the block takes
         places, at = [], 0
@@ -151,14 +165,29 @@ class Scanner:
             if at < done:
                 continue
             begin = max(0, done, at - lead)
+            hopeless = self._hopeless(spans, begin, at)
+            if hopeless and (anchor or (open_places and at < open_places[-1][1] and begin >= done)):
+                # nothing to confirm: an anchor's block has no row, and one that overlaps an open block is part of it
+                if not anchor:
+                    open_places[-1][1] = max(open_places[-1][1], min(at + LEAD, len(spans)))
+                continue
             missed, first, last, row = self._best(spans, begin, at)
             if not missed:
                 done = last
                 found.append((first, last, row))
             elif not anchor:
-                open_places.append((at, row))
-        inside = [(a, b) for a, b, _ in found]
-        rest = [(at, at, row) for at, row in open_places if not any(a <= at < b for a, b in inside)]
+                if open_places and at < open_places[-1][1]:
+                    open_places[-1][1] = max(open_places[-1][1], last)
+                else:
+                    open_places.append([at, last, row])
+        inside = sorted((a, b) for a, b, _ in found)
+        rest = []
+        for at, last, row in open_places:
+            k = bisect(inside, (at, len(spans) + 1)) - 1
+            if k < 0 or at >= inside[k][1]:
+                # an open block ends where a notice begins
+                last = min([last, *(a for a, _ in inside[k + 1 : k + 2])])
+                rest.append((at, at, row | {"stop": max(row["start"] + 1, spans[last - 1][1])}))
         yield from (row for *_, row in sorted(found + rest, key=lambda x: x[:2]))
 
 

@@ -3,12 +3,12 @@
 Source *i* holds S_i tokens. Its weight is w_i = S_i^a / sum_j S_j^a, where the exponent *a* in
 [0, 1] is bisected: 1 keeps the shares of the corpus, 0 gives every source the same. A budget of
 B tokens allots B * w_i tokens to source *i*: whole passes over the source and a part of one more.
-Each pass is a permutation of the source's blocks and of the documents in each block, by a 64-bit
-hash of the pass number, the seed and the document; the part pass is a prefix of its permutation.
+A document's block is fixed, by a hash of the seed and the document. Each pass permutes the blocks of a source, by a hash
+of the pass and the block, and the documents in each block; the part pass is a prefix of its permutation.
 
 Nothing is gathered on the driver but one row of sums for each candidate exponent. The part
-pass is cut by block totals first and inside one block of each source after that, so no window
-ever holds more than the blocks of a source or the documents of a block.
+pass is cut in three steps: by runs of blocks that follow one another, by the blocks of one run, and by the documents of
+one block, so no window ever holds more than the runs of a source, the blocks of a run or the documents of a block.
 
 Defined cases: a null source is a source of its own; a null or empty text has no tokens and goes
 with the documents around it in the permutation; sources without any token get one pass; equal
@@ -94,9 +94,35 @@ def exponent(totals: DataFrame, goal: Goal) -> tuple[float, float, float]:
     return a, a * whole["top"] + math.log(r["z"]), math.exp(budget_log(r))
 
 
-def _key(seed: int, turn: Column) -> Column:
-    """The permutation key of a document in a pass: 63 bits."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), turn.cast("long"), F.col("_id"), F.col("_n")), 1)
+def block_of(seed: int, blocks: Column) -> Column:
+    """The block of a document, the same in every pass."""
+    spot = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("block"), F.col("_id"), F.col("_n")), 1) / F.lit(float(2**63))
+    return F.least(F.floor(spot * blocks).cast("long"), blocks - 1)
+
+
+#: Bits of a permutation key: of a block's place, of which the first name its run, then of a document's in it.
+BLOCK_BITS, DOC_BITS, RUN_SHIFT = 40, 23, 28
+
+
+def _key(seed: int, turn: Column, source: Column, block: Column) -> Column:
+    """The permutation key of a document in a pass, 63 bits: the block's place, then the document's in the block."""
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), turn.cast("long"), source.cast("string"), block), 64 - BLOCK_BITS)
+    own = F.shiftrightunsigned(F.xxhash64(F.lit(seed), turn.cast("long"), F.col("_id"), F.col("_n")), 64 - DOC_BITS)
+    return F.shiftleft(place, DOC_BITS).bitwiseOR(own)
+
+
+def _border(rows: DataFrame, key: Column) -> DataFrame:
+    """``_s, _at, _before``: of each source the key at which its rest ends, and the tokens before that."""
+    sums = rows.withColumn("_at", key).groupBy("_s", "_at").agg(F.sum("_n").alias("_sum"), F.max("_rest").alias("_rest"), F.max("_base").alias("_base"))
+    so_far = Window.partitionBy("_s").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_before", F.col("_base") + F.coalesce(F.sum("_sum").over(so_far), F.lit(0)))
+    return stored(sums.where("_before < _rest and _before + _sum >= _rest").select("_s", "_at", "_before"), "mix-borders")
+
+
+def _within(rows: DataFrame, border: DataFrame, key: Column) -> DataFrame:
+    """The rows at the border, with the tokens before it as ``_base``; at most one key for each source."""
+    met = rows["_s"].eqNullSafe(border["_s"]) & (key == border["_at"])
+    return rows.join(border, met).select(rows["_s"], "_n", "_rest", "_k", F.col("_before").alias("_base"))
 
 
 def plan(sizes: DataFrame, goal: Goal) -> DataFrame:
@@ -110,22 +136,23 @@ def plan(sizes: DataFrame, goal: Goal) -> DataFrame:
     some = F.col("_tokens") > 0
     weight = F.when(some, F.exp(F.lit(a) * F.log("_tokens") - F.lit(lnz))).otherwise(0.0)
     totals = totals.withColumn("_weight", weight).withColumn("_allotted", F.when(some, F.round(F.col("_weight") * F.lit(budget)).cast("long")).otherwise(0))
-    totals = totals.withColumn("_full", F.when(some, F.floor(F.col("_allotted") / F.col("_tokens"))).otherwise(1).cast("long"))
-    totals = totals.withColumn("_rest", F.when(some, F.col("_allotted") - F.col("_full") * F.col("_tokens")).otherwise(0))
+    full = F.floor(F.col("_allotted") / F.col("_tokens"))
+    # the budget that covers the corpus shows each document once at least, whatever the last bits of its sums
+    full = F.greatest(full, F.lit(1)) if goal.budget == "cover" else full
+    totals = totals.withColumn("_full", F.when(some, full).otherwise(1).cast("long"))
+    totals = totals.withColumn("_rest", F.when(some, F.greatest(F.col("_allotted") - F.col("_full") * F.col("_tokens"), F.lit(0))).otherwise(0))
     totals = stored(totals.withColumn("_blocks", F.ceil(F.col("_docs") / F.lit(BLOCK_DOCS)).cast("long")), "mix-allotments")
-    # the part pass: totals of blocks, then the one block where each source's rest ends
-    keyed = sizes.join(totals.where("_rest > 0"), sizes["_s"].eqNullSafe(totals["_s"])).select(totals["_s"], "_n", "_rest", _key(goal.seed, F.col("_full")).alias("_k"), "_blocks")
-    keyed = keyed.withColumn("_b", block_of(F.col("_k"), F.col("_blocks")))
-    blocks = keyed.groupBy("_s", "_b").agg(F.sum("_n").alias("_bn"), F.max("_rest").alias("_rest"))
-    so_far = Window.partitionBy("_s").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_bn").over(so_far), F.lit(0)))
-    border = blocks.where("_before < _rest and _before + _bn >= _rest").select("_s", "_b", "_before")
-    border = stored(border, "mix-borders")
-    inside = keyed.join(border, keyed["_s"].eqNullSafe(border["_s"]) & (keyed["_b"] == border["_b"])).select(border["_s"], border["_b"], "_before", "_k", "_n", "_rest")
+    # the part pass: run, block and document at which each source's rest ends
+    own = sizes.join(totals.where("_rest > 0"), sizes["_s"].eqNullSafe(totals["_s"])).select(totals["_s"], "_id", "_n", "_rest", "_full", "_blocks")
+    keyed = own.withColumn("_k", _key(goal.seed, F.col("_full"), F.col("_s"), block_of(goal.seed, F.col("_blocks")))).select("_s", "_n", "_rest", "_k")
+    place, run = F.shiftright("_k", DOC_BITS), F.shiftright("_k", DOC_BITS + RUN_SHIFT)
+    first = _border(keyed.withColumn("_base", F.lit(0).cast("long")), run)
+    second = _border(_within(keyed, first, run), place)
+    inside = _within(keyed, second, place)
     # equal keys go together; a document belongs to the part pass if at least half of it lies within the rest
-    per_key = inside.groupBy("_s", "_b", "_k").agg(F.sum("_n").alias("_n"), F.max("_rest").alias("_rest"), F.max("_before").alias("_before"))
-    in_block = Window.partitionBy("_s", "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
-    per_key = per_key.withColumn("_at", F.col("_before") + F.coalesce(F.sum("_n").over(in_block), F.lit(0)))
+    per_key = inside.groupBy("_s", "_k").agg(F.sum("_n").alias("_n"), F.max("_rest").alias("_rest"), F.max("_base").alias("_base"))
+    in_block = Window.partitionBy("_s").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    per_key = per_key.withColumn("_at", F.col("_base") + F.coalesce(F.sum("_n").over(in_block), F.lit(0)))
     cuts = per_key.groupBy("_s").agg(
         F.max(F.when(F.col("_at") * 2 + F.col("_n") <= F.col("_rest") * 2, F.col("_k"))).alias("_in"), F.min("_k").alias("_first")
     )
@@ -134,10 +161,6 @@ def plan(sizes: DataFrame, goal: Goal) -> DataFrame:
     return stored(out, "mix-plan")
 
 
-def block_of(key: Column, blocks: Column) -> Column:
-    return F.least(F.floor(key / F.lit(float(2**63)) * blocks).cast("long"), blocks - 1)
-
-
 def mixed(docs: DataFrame, goal: Goal, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", tokens: Column | None = None) -> DataFrame:
     """A row ``(_row, _s, _n, _pass, _block, _weight, _mix_key)`` for each document and pass that shows it.
 
@@ -150,9 +173,10 @@ def mixed(docs: DataFrame, goal: Goal, id_col: str = "doc_id", source_col: str =
     sizes = stored(wide.select("_s", "_id", "_n"), "mix-sizes")
     sources = plan(sizes, goal)
     df = wide.join(sources.withColumnRenamed("_s", "_ps"), F.col("_s").eqNullSafe(F.col("_ps")))
-    passes = F.col("_full") + (_key(goal.seed, F.col("_full")) <= F.col("_cut")).cast("long")
+    df = df.withColumn("_block", block_of(goal.seed, F.col("_blocks")))
+    passes = F.col("_full") + (_key(goal.seed, F.col("_full"), F.col("_s"), F.col("_block")) <= F.col("_cut")).cast("long")
     df = df.withColumn("_passes", passes).where("_passes > 0").withColumn("_pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_passes") - 1)))
-    key = _key(goal.seed, F.col("_pass"))
+    key = _key(goal.seed, F.col("_pass"), F.col("_s"), F.col("_block"))
     shown = F.greatest(F.col("_allotted") / F.greatest(F.col("_tokens"), F.lit(1)), F.col("_full"), F.lit(1e-9))
     spot = (F.col("_pass") + key / F.lit(float(2**63))) / shown
-    return df.select("_row", "_s", "_n", "_pass", block_of(key, F.col("_blocks")).alias("_block"), "_weight", F.least(spot, F.lit(1 - 2.0**-53)).alias("_mix_key"))
+    return df.select("_row", "_s", "_n", "_pass", "_block", "_weight", F.least(spot, F.lit(1 - 2.0**-53)).alias("_mix_key"))

@@ -41,6 +41,8 @@ from edispark.shipping import ship, stored
 
 #: Buckets of up to so many nodes are compared pair by pair; larger ones with pivots, then in blocks.
 SMALL, PIVOTS, BLOCK = 32, 4, 512
+#: Parts that a large group of linked nodes is dealt to, and the share of all rows from which a class is large.
+SALTS, LARGE = 16, 2000
 
 
 @dataclass(frozen=True)
@@ -137,7 +139,15 @@ def frequencies(docs: DataFrame, text_col: str, how: Near) -> tuple[dict[int, in
             yield out()
 
     counted = texts.mapInArrow(exact, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return {r["shingle"]: r["n"] for r in counted.collect()}, n
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sixteen bytes for each frequent shingle are all that reaches the driver."""
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([c.to_numpy().astype("<i8").tobytes()], pa.binary()) for c in batch.columns], ["shingle", "n"])
+
+    rows = counted.mapInArrow(packed, "shingle binary, n binary").collect()
+    keys, values = (np.frombuffer(b"".join(r[c] for r in rows), "<i8").tolist() for c in ("shingle", "n"))
+    return dict(zip(keys, values, strict=True)), n
 
 
 class Weights:
@@ -246,8 +256,11 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         seen = both.join(label.select(F.col("node").alias("b"), F.col("comp").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
         new = label.join(seen, label["node"] == seen["a"]).select("node", F.col("comp").alias("old"), F.least("comp", "c").alias("comp"))
-        jump = label.select(F.col("node").alias("comp"), F.col("comp").alias("up"))
-        new = stored(new.join(jump, "comp").select("node", "old", F.least("comp", "up").alias("comp")), "near-labels")
+        # only groups whose head has a smaller label itself jump: few rows, repeated for each part of a large group
+        heads = new.select(F.col("comp").alias("node")).distinct().join(label, "node").where("comp <> node").select(F.col("node").alias("comp"), F.col("comp").alias("up"))
+        heads = heads.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = new.withColumn("_salt", F.pmod(F.xxhash64("node", F.lit(3)), F.lit(SALTS)).cast("int"))
+        new = stored(salted.join(heads, ["comp", "_salt"], "left").select("node", "old", F.coalesce("up", "comp").alias("comp")), "near-labels")
         label = new.select("node", "comp")
         if new.where("old <> comp").isEmpty():
             return label
@@ -388,13 +401,27 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return members, comps
 
 
+def _named(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Members with their group's name and its least id.
+
+    Groups of more than 1/``LARGE`` of all members are fewer than ``LARGE``, so their rows are broadcast; the members of all others meet in a shuffle.
+    """
+    named = stored(members.join(comps, "node", "left").select("id", "node", "copies", F.coalesce("comp", "node").alias("comp")), "near-named")
+    least = stored(named.groupBy("comp").agg(F.min("id").alias("class_id"), F.count("*").alias("n")), "near-least")
+    total = least.agg(F.sum("n")).first()[0] or 0
+    large = least.where(F.col("n") * LARGE > total).select("comp", F.struct("class_id").alias("_large"))
+    some = named.join(F.broadcast(large), "comp", "left")
+    rest = some.where("_large is null").drop("_large").join(least.drop("n"), "comp")
+    return rest.select("id", "node", "copies", "comp", "class_id").union(some.where("_large is not null").select("id", "node", "copies", "comp", "_large.class_id"))
+
+
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: Near | None = None) -> DataFrame:
     """One row for each row of ``docs``: its id and ``class_id``, the least id of its class."""
     members, comps = near_classes(docs, id_col, text_col, how)
-    named = members.join(comps, "node", "left").select("id", "node", "copies", F.coalesce("comp", "node").alias("comp"))
-    least = named.groupBy("comp").agg(F.min("id").alias("class_id"))
-    out = named.join(least, "comp").select(F.col("id").alias(id_col), "class_id", "copies")
-    return out.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(id_col, "class_id")
+    out = _named(members, comps).select(F.col("id").alias(id_col), "class_id", "copies")
+    # many equal rows become one list for each few thousand of them
+    out = out.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / 4096).cast("long"))))
+    return out.withColumn("_c", F.explode(F.sequence(F.col("_k") * 4096 + 1, F.least(F.col("copies"), (F.col("_k") + 1) * 4096)))).select(id_col, "class_id")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: Near | None = None) -> DataFrame:
@@ -406,6 +433,6 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_row"), F.col(id_col).cast("long").alias("_rid"), node_of(F.col(text_col)).alias("_rnode"))
     kept = whole.join(chosen, (F.col("_rnode") == F.col("_cnode")) & F.col("_rid").eqNullSafe(F.col("_cid")))
     one = kept.where("_copies = 1").select("_row")
-    # several rows of the same id and text: any one of them, the rest of the row deciding nothing
-    many = kept.where("_copies > 1").groupBy("_rid", "_rnode").agg(F.first("_row").alias("_row")).select("_row")
+    # several rows of the same id and text: the one whose other columns come first as text
+    many = kept.where("_copies > 1").groupBy("_rid", "_rnode").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row")
     return one.unionByName(many).select(*[F.col("_row")[c].alias(c) for c in cols])

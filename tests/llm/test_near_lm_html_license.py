@@ -2,6 +2,7 @@ import itertools
 import math
 import os
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -341,3 +342,110 @@ def test_notices_without_an_unbroken_term(spark):
     texts[9] = ("MIT-text", licenses.TEMPLATES["MIT-text"].replace("hereby", "herewith", 1))
     df = spark.createDataFrame([(k, t) for k, (_, t) in texts.items()], "doc_id long, text string")
     assert {(r.doc_id, r.license) for r in licenses.scanned(df).collect() if r.confirmed} == {(k, n) for k, (n, _) in texts.items()}
+
+
+def test_notices_with_no_break_spaces_and_many_open_terms():
+    scanner = licenses.Scanner()
+    mit = licenses.TEMPLATES["MIT-text"]
+    text = "a b c " + mit.replace(" ", "\u00a0") + " d e f"
+    assert [(r["license"], r["confirmed"], text[r["start"] : r["stop"]]) for r in scanner.scan(text)] == [("MIT-text", True, mit.replace(" ", "\u00a0"))]
+    began = time.time()
+    many = "license fee " * 4000
+    rows = list(scanner.scan(many))
+    assert time.time() - began < 5 and [r["confirmed"] for r in rows] == [False] and rows[0]["stop"] >= len(many.rstrip()) - 200
+    both = list(scanner.scan("license fee " * 50 + mit + " license fee" * 50))
+    assert [r["confirmed"] for r in both] == [False, True, False] and both[0]["stop"] <= both[1]["start"] and both[1]["stop"] <= both[2]["start"]
+
+
+def test_license_rows_of_odd_tables(spark):
+    mit = licenses.TEMPLATES["CC-BY-4.0"]
+    rows = [(None, mit), (1, mit), (1, mit), (2, "word " * 200_000 + mit), (3, None), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS start", "2 AS license")
+    got = licenses.scanned(df).collect()
+    assert sorted((str(r.doc_id), r.license, r.confirmed, r.stop - r.start) for r in got) == sorted((str(k), "CC-BY-4.0", True, len(mit)) for k in (None, 1, 1, 2))
+    none = licenses.scanned(df.where("doc_id > 2"))
+    assert none.count() == 0 and none.columns == [c.split()[0] for c in licenses.COLUMNS.split(", ")]
+
+
+def test_notices_of_the_table_equal_a_plain_search():
+    """Whole wordings of short templates in the driver's texts, found by looking for them, are all confirmed."""
+    import duckdb
+
+    texts = [t for (t,) in duckdb.sql("select text from '/root/testdata/sf0.01/documents.parquet' where text is not null").fetchall()]
+    scanner, plain = licenses.Scanner(), {n: " ".join(w for w in map(licenses.normal, t.split()) if w) for n, t in licenses.TEMPLATES.items() if len(t.split()) <= 16}
+    seen = 0
+    for text in texts:
+        words = " ".join(w for w in map(licenses.normal, text.split()) if w)
+        there = {n for n, t in plain.items() if f" {t} " in f" {words} "}
+        if there:
+            seen += 1
+            assert there <= {r["license"] for r in scanner.scan(text) if r["confirmed"]}
+    assert seen > 5
+
+
+#: Pages written by hand, with the text a reader would take for the article.
+HAND = [
+    ("<body><header><a href=/>Site</a></header><main><h1>River news</h1><p>The water <em>rose</em> again, said <a href=x>a witness</a>.</p><script>ad()</script><p>It fell<sup>2</sup> later.</p></main><aside>Read more</aside></body>", "River news\nThe water rose again, said a witness.\nIt fell2 later."),
+    ("<div id=menu><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></div><div class=article><h2>Energy</h2><p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds for all bodies.</p></div><div class=footer>Copyright 2020</div>", "Energy\nEnergy E=m holds for all bodies."),
+    ("<article><p>Hello <script>x()</script>world and <svg><title>icon</title></svg> all the others here.</p><p>Second paragraph <!-- note --> goes on.</p></article><section class=comments><p>First!</p></section>", "Hello world and all the others here.\nSecond paragraph goes on."),
+    ("<div class=cookie-notice>We use cookies. <button>Accept</button></div><div class=post><p>A long enough paragraph of plain text stands here for the reader.</p><blockquote>Quoted words belong to it.</blockquote><ul><li>first point of the list<li>second point of the list</ul></div>", "A long enough paragraph of plain text stands here for the reader.\nQuoted words belong to it.\nfirst point of the list\nsecond point of the list"),
+    ("<nav>Home</nav><article><p>Tom &amp; Jerry&nbsp;run&#33;</p><form><label>Name</label><input></form><pre>a  b\n c</pre></article>", "Tom & Jerry run!\na b c"),
+]
+
+
+@pytest.mark.parametrize("html,want", HAND)
+def test_pages_written_by_hand(crf, html, want):
+    assert html_text.main_text(html, crf) == want
+
+
+@pytest.mark.parametrize(
+    "html,want",
+    [
+        ("<p>Hello <script>x()</script>world and <svg/> icon</p>", ["Hello world and icon"]),
+        ("<p>a <style>p{}</style>b<template><p>no</p></template> c<select><option>o</select> d</p>", ["a b c d"]),
+        ("<p>Energy <math><mi>E</mi></math> holds.</p>", ["Energy E holds."]),
+        ("<p>a <object>inner</object> <video>old browser</video> b</p>", ["a inner old browser b"]),
+        ("<div>x<svg></div>y", ["x", "y"]),
+        ("<b><i>one</b> two</i> three", ["one two three"]),
+        ("<my-box>a</my-box>b<blink>c</blink>d", ["a", "bcd"]),
+        ("<noscript><p>no</p></noscript>yes", ["yes"]),
+    ],
+)
+def test_silent_and_inline_elements(html, want):
+    assert [b.text for b in blocks(html)] == want
+
+
+@pytest.mark.parametrize("html", ["<div>x" * 50_000, "<b>x" * 50_000, "<p>x" * 50_000, "<ul><li>x" * 25_000, "<div>" * 25_000 + "<li>x</li></q>" * 25_000, "<b>" * 20_000 + "<i>" * 20_000 + "x</b>" * 20_000])
+def test_deep_pages_take_linear_time(crf, html):
+    began = time.time()
+    text = html_text.main_text(html, crf)
+    assert time.time() - began < 6 and set(text) <= {"x", "\n", " "}
+
+
+def test_pages_long_and_none(spark, crf):
+    long = "<article>" + "<p>Some words of a paragraph that goes on for a while.</p>" * 20_000 + "</article>"
+    assert html_text.main_text(long, crf).count("\n") == 19_999
+    df = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html_text.extracted(df, crf).count() == 0
+
+
+def test_recall_of_near_copies(spark):
+    """Copies with edits against all pairs by brute force: each pair of similarity 0.8 or more is in one class, and no text without one is in any."""
+    r = random.Random(8)
+    rows = []
+    for k in range(40):
+        base = [f"w{r.randint(0, 3000)}" for _ in range(r.choice([40, 120, 400]))]
+        rows.append((len(rows), " ".join(base)))
+        for _ in range(3):
+            own = list(base)
+            for _ in range(max(1, int(len(own) * r.choice([0.005, 0.01, 0.02, 0.04])))):
+                own[r.randrange(len(own))] = f"x{r.randint(0, 10**6)}"
+            rows.append((len(rows), " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    how = neardup.Near()
+    counts, n = neardup.frequencies(docs, "text", how)
+    weights, own = neardup.Weights(counts, n, how), dict(neardup.classes(docs).collect())
+    pairs = list(itertools.combinations(range(len(rows)), 2))
+    close = [p for p, x in zip(pairs, neardup.similarities([t for _, t in rows], pairs, weights), strict=True) if x >= how.threshold]
+    assert len(close) > 60 and all(own[a] == own[b] for a, b in close)
+    assert Counter((i, c) for i, c in own.items()) == classes_by_brute_force(rows, weights, how.threshold)

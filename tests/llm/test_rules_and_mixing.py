@@ -100,6 +100,38 @@ def test_mixing_meets_its_weights(spark, goal, monkeypatch):
         assert {(r._row.doc_id, r._row.text) for r in shown} == {(r.doc_id, r.text) for r in docs.collect()}
 
 
+def test_part_pass_by_brute_force(spark, monkeypatch):
+    """Which rows each pass shows, from every document's key: whole passes, then the prefix that meets the rest."""
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 4)
+    goal = mixing.Goal(entropy=0.98, budget=20000)
+    docs = odd_documents(spark)
+    shown = mixing.mixed(docs, goal).collect()
+    plan = {r._s: r for r in mixing.plan(docs.select(F.col("source").alias("_s"), F.col("doc_id").alias("_id"), word_count(F.col("text")).alias("_n")), goal).collect()}
+    sizes = docs.select(F.col("source").alias("_s"), F.col("doc_id").alias("_id"), word_count(F.col("text")).alias("_n"))
+    got = Counter((r._s, r._row.doc_id, r._n, r._pass) for r in shown)
+    want = Counter()
+    for source, p in plan.items():
+        own = sizes.where(F.col("_s").eqNullSafe(F.lit(source)))
+        block = mixing.block_of(goal.seed, F.lit(p._blocks))
+        rows = own.withColumn("b", block).withColumn("k", mixing._key(goal.seed, F.lit(p._full), F.lit(source), F.col("b"))).collect()
+        for r in rows:
+            want.update((source, r._id, r._n, k) for k in range(p._full))
+        # blocks stay together in the permutation
+        order = [r.b for r in sorted(rows, key=lambda r: r.k)]
+        assert len([1 for a, b in zip([None, *order], order) if a != b]) == len(set(order))
+        at = 0
+        for k in sorted({r.k for r in rows}):
+            tied = [r for r in rows if r.k == k]
+            n = sum(r._n for r in tied)
+            rest = p._allotted - p._full * p._tokens if p._tokens else 0
+            if rest > 0 and 2 * at + n <= 2 * rest:
+                want.update((source, r._id, r._n, p._full) for r in tied)
+            at += n
+    assert got == want
+    # a document's block is the same in each pass
+    assert all(len(bs) == 1 for bs in ({r._block for r in shown if (r._s, r._row.doc_id, r._n) == key} for key in {(r._s, r._row.doc_id, r._n) for r in shown}))
+
+
 def test_mixing_of_nothing(spark):
     assert mixing.mixed(empty_documents(spark), mixing.Goal(entropy=0.9)).count() == 0
     none = odd_documents(spark).where("text is null or text = ''")
