@@ -22,7 +22,8 @@ vectors, sums by bucket and by g (at most ``MEMORY`` of them).
 
 Training is spread over the corpus: each task makes a pass over all texts of its part (more than one until it has
 made ``STEPS`` steps) with sampled noise, classes against draws of class frequencies and units against draws within their class;
-the parts' vectors are averaged row by row, weighted by how often each row was met.
+the parts' vectors are averaged row by row, weighted by how often each row was met. Of targets that hold a share of more
+than ``FREQUENT``, one in ``THIN`` makes a step and counts that often; every token is context, and every rarer one a target.
 
 Defined cases: a null or empty text is its end alone; equal rows get a row each; a null id counts by
 the checksum of an empty string; with no training text all counts are 0 and the base gives 0;
@@ -42,11 +43,13 @@ from pyspark.sql import functions as F
 from edispark.llm import shingles as S
 from edispark.shipping import ship, stored
 
-SHORTLIST, CONTEXT, WIDTH = 20_000, 4, 32
+SHORTLIST, CONTEXT, WIDTH = 20_000, 4, 16
 #: Most buckets and most contexts of the memory; both are powers of two.
 BUCKETS, MEMORY = 2048, 1 << 20
 #: Training: tokens of a step, steps of a part at least, tokens of a part at least, noise draws of classes (shared) and of units (each token).
 BATCH, STEPS, PART, CLASS_NOISE, UNIT_NOISE = 2048, 300, 400_000, 16, 4
+#: Units above this share of all tokens are thinned as targets.
+FREQUENT, THIN = 2.0**-14, 4
 END = 1
 _U = np.uint64
 _DRAWS = 1024
@@ -55,6 +58,10 @@ _HELD, _SCORED = 3_000_000, 60_000
 _FINE = float(1 << 26)
 
 
+_LOWER = np.arange(256)
+_LOWER[65:91] += 32
+
+
 @dataclass
 class Read:
     """Tokens of several texts in a row: hashes, 16 bits of the last bytes, and the texts' offsets (one entry more)."""
@@ -72,28 +79,18 @@ def read(data: np.ndarray, offsets: np.ndarray) -> Read:
     hashes, last = np.full(at[-1], END, _U), np.zeros(at[-1], np.int64)
     hashes[spot] = words
     if len(words):
-        word = ~S._SPACE[data]
-        stop = word.copy()
-        edge = np.zeros(len(data) + 1, bool)
+        word, edge = ~S._SPACE[data], np.zeros(len(data) + 1, bool)
         edge[offsets] = True
+        first, stop = word.copy(), word.copy()
+        first[1:] &= ~word[:-1] | edge[1 : len(data)]
         stop[:-1] &= ~word[1:] | edge[1 : len(data)]
         stops = np.flatnonzero(stop)
-        lower = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.int64)
-        # what stands before a short word is a blank or another text; both are told by the word's own length
-        length = np.minimum(np.diff(np.append(np.flatnonzero(_starts(word, edge)), len(data) + 3)), 3)
-        one, two = lower[stops], lower[np.maximum(stops - 1, 0)]
-        three = lower[np.maximum(stops - 2, 0)]
-        own = np.minimum(length, stops - np.flatnonzero(_starts(word, edge)) + 1)
-        last[spot] = (one * 7919 + np.where(own > 1, two, 0) * 104729 + np.where(own > 2, three, 0) * 1299709) >> 3 & 0xFFFF
+        length = stops - np.flatnonzero(first)
+        one, two, three = (_LOWER[data[np.maximum(stops - k, 0)]] for k in range(3))
+        last[spot] = (one * 7919 + np.where(length > 0, two, 0) * 104729 + np.where(length > 1, three, 0) * 1299709) >> 3 & 0xFFFF
     return Read(hashes, last, at)
 
 
-def _starts(word: np.ndarray, edge: np.ndarray) -> np.ndarray:
-    first = word.copy()
-    first[1:] &= ~word[:-1] | edge[1 : len(word)]
-    return first
-
-
 def reads(texts: pa.Array, tokens: int = 1 << 62) -> Iterator[tuple[int, int, Read]]:
     """(first row, last row + 1, tokens) of a column in steps."""
     for a, b, data, offsets in S.parts(texts):
@@ -170,19 +167,27 @@ class Net:
         """Normalised natural logs of units after contexts: a product with all classes, and one with the units of each class."""
         h = self.hidden(contexts)
         cls = units // self.step
-        s = h @ self.out[: self.classes].T + self.bias[: self.classes]
-        out = s[np.arange(len(h)), cls] - _log_sum(s)
+        s = h @ self.out[: self.classes].T
+        s += self.bias[: self.classes]
+        out = s[np.arange(len(h)), cls]  # taken before the sum, which works in place
+        out -= _log_sum(s)
         order = np.argsort(cls, kind="stable")
         ends = np.searchsorted(cls[order], np.arange(self.classes + 1))
         for c in np.flatnonzero(np.diff(ends)):
             own = order[ends[c] : ends[c + 1]]
             a, b = self.classes + c * self.step, min(self.classes + (c + 1) * self.step, len(self.out))
-            s = h[own] @ self.out[a:b].T + self.bias[a:b]
-            out[own] += s[np.arange(len(own)), units[own] - c * self.step] - _log_sum(s)
+            s = h[own] @ self.out[a:b].T
+            s += self.bias[a:b]
+            hit = s[np.arange(len(own)), units[own] - c * self.step]
+            out[own] += hit - _log_sum(s)
         return out
 
 
 def _log_sum(s: np.ndarray) -> np.ndarray:
+    """Scores are near log-probabilities, so only odd ones need their greatest taken out."""
+    top = float(s.max(initial=0.0))
+    if top < 60:
+        return np.log(np.exp(s, out=s).sum(axis=1))
     top = s.max(axis=1, keepdims=True)
     return np.log(np.exp(s - top).sum(axis=1)) + top[:, 0]
 
@@ -190,7 +195,7 @@ def _log_sum(s: np.ndarray) -> np.ndarray:
 def contexts_of(units: np.ndarray, at: np.ndarray, start: int) -> np.ndarray:
     """The ``CONTEXT`` units before each token, the nearest first; ``start`` where the text has fewer."""
     own = np.arange(len(units)) - np.repeat(at[:-1], np.diff(at))
-    out = np.full((len(units), CONTEXT), start, np.int64)
+    out = np.full((len(units), CONTEXT), start, np.int32)
     for k in range(CONTEXT):
         here = own > k
         out[here, k] = units[np.flatnonzero(here) - k - 1]
@@ -211,7 +216,7 @@ def new_net(units: Units, seed: int = 5) -> Net:
 class Trainer:
     """Noise-contrastive steps over a net, with a step size for each row by its past gradients."""
 
-    def __init__(self, net: Net, units: Units, seed: int, rate: float = 0.15):
+    def __init__(self, net: Net, units: Units, seed: int, rate: float = 0.05):
         self.net, self.rate = net, np.float32(rate)
         self.rng = np.random.default_rng(seed)
         n, step, f4 = len(units.mass), net.step, np.float32
@@ -224,6 +229,7 @@ class Trainer:
         self.past = [np.full(len(x), 1e-2, f4) for x in (net.context, net.out)]
         self.met = [np.zeros(len(x), f4) for x in (net.context, net.out)]
         self.past_position = f4(1.0)
+        self.often = units.mass > FREQUENT * units.mass.sum()
 
     @staticmethod
     def _table(mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,25 +241,30 @@ class Trainer:
         return table, np.log(np.maximum(share, 0.5 / len(table)))
 
     def _add(self, which: int, rows: np.ndarray, grads: np.ndarray, bias: np.ndarray | None = None) -> None:
-        """One step up along the sums of gradients by row."""
+        """One step up along the sums of gradients (a row for each component) by row of the table."""
         order = np.argsort(rows)
         ordered = rows[order]
         new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
-        own, place = ordered[new], np.empty(len(rows), np.int32)
-        place[order] = np.cumsum(new, dtype=np.int32) - 1
-        # one weighted count over (row, component) is the sum by row
-        flat = (place * np.int32(WIDTH))[:, None] + np.arange(WIDTH, dtype=np.int32)
-        total = np.bincount(flat.ravel(), grads.ravel(), len(own) * WIDTH).reshape(-1, WIDTH).astype(np.float32)
+        own, place = ordered[new], np.empty(len(rows), np.int64)
+        place[order] = np.cumsum(new) - 1
+        total = np.array([np.bincount(place, g, len(own)) for g in grads], np.float32)
         target = self.net.context if which == 0 else self.net.out
-        past = self.past[which]
-        past[own] += (total * total).mean(axis=1)
-        size = self.rate / np.sqrt(past[own])
-        target[own] += total * size[:, None]
+        past = self.past[which][own] + np.einsum("wm,wm->m", total, total) / np.float32(WIDTH)
+        self.past[which][own] = past
+        size = self.rate / np.sqrt(past)
+        target[own] += (total * size).T
         self.met[which][own] += 1
         if bias is not None:
             self.net.bias[own] += size * np.float32(0.3) * np.bincount(place, bias, len(own)).astype(np.float32)
 
-    def step(self, contexts: np.ndarray, units: np.ndarray) -> None:
+    def targets(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the tokens to learn from, in random order, and how often each counts."""
+        often = self.often[units]
+        own = np.flatnonzero(~often | (self.rng.integers(0, THIN, len(units)) == 0))
+        own = own[self.rng.permutation(len(own))]
+        return own, np.where(often[own], np.float32(THIN), np.float32(1))
+
+    def step(self, contexts: np.ndarray, units: np.ndarray, weights: np.ndarray) -> None:
         net, f4 = self.net, np.float32
         h = net.hidden(contexts)
         cls = units // net.step
@@ -261,8 +272,8 @@ class Trainer:
         noise = self.class_draws[self.rng.integers(0, len(self.class_draws), CLASS_NOISE)]
         k = f4(np.log(CLASS_NOISE))
         q = net.out[cls]
-        up = 1 / (1 + np.exp((h * q).sum(axis=1) + net.bias[cls] - self.class_log[cls].astype(f4) - k))
-        down = -1 / (1 + np.exp(-(h @ net.out[noise].T + net.bias[noise] - self.class_log[noise].astype(f4) - k)))
+        up = weights / (1 + np.exp((h * q).sum(axis=1) + net.bias[cls] - self.class_log[cls].astype(f4) - k))
+        down = -weights[:, None] / (1 + np.exp(-(h @ net.out[noise].T + net.bias[noise] - self.class_log[noise].astype(f4) - k)))
         g_h = up[:, None] * q + down @ net.out[noise]
         # units: each token against draws of its own class
         drawn = self.unit_draws[cls[:, None], self.rng.integers(0, self.unit_draws.shape[1], (len(units), UNIT_NOISE))]
@@ -271,15 +282,16 @@ class Trainer:
         s = np.einsum("bd,bkd->bk", h, qs) + net.bias[rows] - self.unit_log[rows - net.classes] - f4(np.log(UNIT_NOISE))
         rise = -1 / (1 + np.exp(-s))
         rise[:, 0] += 1
+        rise *= weights[:, None]
         g_h += np.einsum("bk,bkd->bd", rise, qs)
-        grads = (rise[:, :, None] * h[:, None, :]).reshape(-1, WIDTH)
+        h_t = np.ascontiguousarray(h.T)
         out_rows = np.concatenate([rows.ravel(), cls, noise]).astype(np.int32)
-        out_grads = np.concatenate([grads, up[:, None] * h, down.T @ h])
+        out_grads = np.concatenate([(h_t[:, :, None] * rise).reshape(WIDTH, -1), h_t * up, h_t @ down], axis=1)
         out_bias = np.concatenate([rise.ravel(), up, down.sum(axis=0)])
         r = net.context[contexts]
         g_position = np.einsum("bd,bkd->kd", g_h, r)
         self._add(1, out_rows, out_grads, out_bias)
-        self._add(0, contexts.ravel().astype(np.int32), (g_h[:, None, :] * net.position[None]).reshape(-1, WIDTH))
+        self._add(0, contexts.ravel().astype(np.int32), (np.ascontiguousarray(g_h.T)[:, :, None] * net.position.T[:, None, :]).reshape(WIDTH, -1))
         self.past_position += float((g_position**2).mean())
         net.position += f4(0.05) * g_position / np.sqrt(self.past_position)
 
@@ -294,30 +306,28 @@ def _batch(columns: list, names: str) -> pa.RecordBatch:
 
 
 class _Held:
-    """Rows of integers that are counted before they leave a task."""
+    """Rows of integers that are counted before they leave a task; ``key`` tells equal rows by one 64-bit number."""
 
     def __init__(self, names: str):
         self.names, self.parts, self.size = names, [], 0
 
-    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append(columns)
-        self.size += len(columns[0])
+    def add(self, key: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.parts.append((key, *columns))
+        self.size += len(key)
         if self.size > _HELD:
             yield from self.out()
 
     def out(self) -> Iterator[pa.RecordBatch]:
         if not self.size:
             return
-        columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
+        key, *columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
         self.parts, self.size = [], 0
-        order = np.lexsort(columns[::-1]) if len(columns) > 1 else np.argsort(columns[0])
-        columns = [c[order] for c in columns]
-        new = np.ones(len(order), bool)
-        new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
-        first = np.flatnonzero(new)
-        times = np.diff(np.append(first, len(order)))
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        times, spots = np.diff(np.append(first, len(order))), order[first]
         for a in range(0, len(first), 1 << 16):
-            own = first[a : a + (1 << 16)]
+            own = spots[a : a + (1 << 16)]
             yield _batch([*(c[own] for c in columns), times[a : a + (1 << 16)]], self.names)
 
 
@@ -326,7 +336,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = _Held("w long, last int, n long")
     for batch in batches:
         for _, _, r in reads(batch.column(0)):
-            yield from held.add(r.hashes.view(np.int64), r.last)
+            yield from held.add(r.hashes, r.hashes.view(np.int64), r.last)
     yield from held.out()
 
 
@@ -338,7 +348,8 @@ def _pairs(units):
         for batch in batches:
             for _, _, r in reads(batch.column(0)):
                 rare = known.of(r)[1] < 0
-                yield from held.add(r.hashes[rare].view(np.int64), memory_of(r, known.memory)[rare])
+                w, g = r.hashes[rare], memory_of(r, known.memory)[rare]
+                yield from held.add(S.mix(w + S.mix(g.astype(_U) + _U(1))), w.view(np.int64), g)
         yield from held.out()
 
     return over
@@ -361,16 +372,16 @@ def _trained(units, steps: int):
         known = units.value
         start = len(known.mass)
         seed = TaskContext.get().partitionId()
-        trainer, order = Trainer(new_net(known), known, seed), np.random.default_rng(seed)
+        trainer = Trainer(new_net(known), known, seed)
         contexts = np.zeros(known.memory, np.int64)
         kept, done, size = [], 0, 0
 
         def learn(u: np.ndarray, at: np.ndarray) -> int:
-            ctx, turn = contexts_of(u, at, start), order.permutation(len(u))
-            for a in range(0, len(u), BATCH):
+            ctx, (turn, weights) = contexts_of(u, at, start), trainer.targets(u)
+            for a in range(0, len(turn), BATCH):
                 own = turn[a : a + BATCH]
-                trainer.step(ctx[own], u[own])
-            return -(-len(u) // BATCH)
+                trainer.step(ctx[own], u[own], weights[a : a + BATCH])
+            return -(-len(turn) // BATCH)
 
         for batch in batches:
             for _, _, r in reads(batch.column(0)):

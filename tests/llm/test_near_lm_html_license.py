@@ -213,7 +213,7 @@ def test_training_learns_what_follows():
     trainer = lm.Trainer(lm.new_net(units), units, 3)
     for _ in range(400):
         u = r.integers(0, 40, 512)
-        trainer.step(np.stack([u, *r.integers(0, 40, (3, 512))], axis=1), (u + 1) % 40)
+        trainer.step(np.stack([u, *r.integers(0, 40, (3, 512))], axis=1), (u + 1) % 40, np.ones(512, np.float32))
     u = np.arange(40)
     contexts = np.stack([u, *r.integers(0, 40, (3, 40))], axis=1)
     p = np.exp([trainer.net.log_probabilities(contexts, np.full(40, w)) for w in range(40)])
