@@ -54,4 +54,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._edispark_at = path
+    return back
+
+
+def dropped(df: DataFrame) -> None:
+    """Remove the table of a ``stored`` result that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._edispark_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

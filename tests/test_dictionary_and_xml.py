@@ -177,3 +177,10 @@ def test_export(spark, tmp_path):
         dictionary.export([("T1", "", raw), ("T2", "ZX", raw)], str(tmp_path / form), form)
         got = [spark.read.format(form).option("header", True).load(str(tmp_path / form / f"{t}.dict")).first() for t in ("T1", "T2")]
         assert [(r.idoctyp, r.segnam, r.segdef, int(r.length)) for r in got] == [("T1", "E1", "E1000", 3), ("T2", "E1", "E1000", 3)]
+
+
+def test_describe(spark):
+    from edispark.functions.describe import describe
+
+    names = {r.name for r in describe(spark).where("description <> ''").collect()}
+    assert {"read_raw", "read_xml", "to_xml", "xml_to_records", "offsets", "validate", "write_idoc", "renumber", "stream_raw", "zero_pad"} <= names
