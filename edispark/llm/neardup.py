@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from edispark.llm import shingles as S
 from edispark.llm.sampling import samples
-from edispark.shipping import ship, stored
+from edispark.shipping import dropped, ship, stored
 
 
 #: Buckets of up to so many nodes are compared pair by pair; larger ones with pivots, then in blocks.
@@ -257,13 +257,16 @@ def components(edges: DataFrame) -> DataFrame:
         seen = both.join(label.select(F.col("node").alias("b"), F.col("comp").alias("c")), "b").groupBy("a").agg(F.min("c").alias("c"))
         new = label.join(seen, label["node"] == seen["a"]).select("node", F.col("comp").alias("old"), F.least("comp", "c").alias("comp"))
         # only groups whose head has a smaller label itself jump: few rows, repeated for each part of a large group
-        heads = new.select(F.col("comp").alias("node")).distinct().join(label, "node").where("comp <> node").select(F.col("node").alias("comp"), F.col("comp").alias("up"))
+        heads = label.select(F.col("comp").alias("_head")).distinct().join(label.toDF(*[f"_{c}" for c in label.columns]), F.col("_head") == F.col("_node"))
+        heads = heads.where("_comp <> _node").select(F.col("_node").alias("comp"), F.col("_comp").alias("up"))
         heads = heads.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salted = new.withColumn("_salt", F.pmod(F.xxhash64("node", F.lit(3)), F.lit(SALTS)).cast("int"))
         new = stored(salted.join(heads, ["comp", "_salt"], "left").select("node", "old", F.coalesce("up", "comp").alias("comp")), "near-labels")
-        label = new.select("node", "comp")
+        dropped(label)
+        label = new
         if new.where("old <> comp").isEmpty():
-            return label
+            dropped(both)
+            return new.select("node", "comp")
 
 
 def _open(placed: DataFrame, comps: DataFrame) -> DataFrame:
