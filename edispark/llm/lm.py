@@ -37,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +55,7 @@ END = 1
 _U = np.uint64
 _DRAWS = 1024
 #: Tokens that a task holds before it hands counts on, and that are scored in one go.
-_HELD, _SCORED = 3_000_000, 60_000
+_HELD, _CACHED = 3_000_000, 2048
 _FINE = float(1 << 26)
 
 
@@ -165,31 +166,30 @@ class Net:
 
     def log_probabilities(self, contexts: np.ndarray, units: np.ndarray) -> np.ndarray:
         """Normalised natural logs of units after contexts: a product with all classes, and one with the units of each class."""
-        h = self.hidden(contexts)
-        cls = units // self.step
-        s = h @ self.out[: self.classes].T
-        s += self.bias[: self.classes]
-        out = s[np.arange(len(h)), cls]  # taken before the sum, which works in place
-        out -= _log_sum(s)
+        # a component that is always one carries the bias through the products
+        h = np.ones((len(units), WIDTH + 1), np.float32)
+        h[:, :WIDTH] = self.hidden(contexts)
+        out_t = np.concatenate([self.out, self.bias[:, None]], axis=1).T.astype(np.float32)
+        cls, got = units // self.step, np.empty(len(units), np.float32)
+        for a in range(0, len(units), _CACHED):
+            got[a : a + _CACHED] = _log_share(h[a : a + _CACHED] @ out_t[:, : self.classes], cls[a : a + _CACHED])
         order = np.argsort(cls, kind="stable")
         ends = np.searchsorted(cls[order], np.arange(self.classes + 1))
         for c in np.flatnonzero(np.diff(ends)):
-            own = order[ends[c] : ends[c + 1]]
             a, b = self.classes + c * self.step, min(self.classes + (c + 1) * self.step, len(self.out))
-            s = h[own] @ self.out[a:b].T
-            s += self.bias[a:b]
-            hit = s[np.arange(len(own)), units[own] - c * self.step]
-            out[own] += hit - _log_sum(s)
-        return out
+            for k in range(ends[c], ends[c + 1], _CACHED):
+                own = order[k : min(k + _CACHED, ends[c + 1])]
+                got[own] += _log_share(h[own] @ out_t[:, a:b], units[own] - c * self.step)
+        return got
 
 
-def _log_sum(s: np.ndarray) -> np.ndarray:
-    """Scores are near log-probabilities, so only odd ones need their greatest taken out."""
-    top = float(s.max(initial=0.0))
-    if top < 60:
-        return np.log(np.exp(s, out=s).sum(axis=1))
-    top = s.max(axis=1, keepdims=True)
-    return np.log(np.exp(s - top).sum(axis=1)) + top[:, 0]
+def _log_share(s: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The log of one column's share of the exponentials in each row; ``s`` is worked on in place."""
+    hit = s[np.arange(len(s)), at]
+    if float(np.abs(hit).max(initial=0)) < 60 and float(s.max(initial=0.0)) < 60:
+        return hit - np.log(np.exp(s, out=s).sum(axis=1))
+    top = s.max(axis=1)
+    return hit - np.log(np.exp(s - top[:, None]).sum(axis=1)) - top
 
 
 def contexts_of(units: np.ndarray, at: np.ndarray, start: int) -> np.ndarray:
@@ -446,8 +446,8 @@ def _arrays(df: DataFrame) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(r[n] for r in rows), "<i8") for n in names]
 
 
-def fit(texts: DataFrame) -> tuple[Units, Net, np.ndarray, DataFrame, int, int]:
-    """From the column ``text``: units, net, log10 of rest(g), the table ``w, c, before`` of tokens outside the shortlist, N and V.
+def fit(texts: DataFrame) -> tuple[Units, Net, np.ndarray, DataFrame, DataFrame, int, int]:
+    """From the column ``text``: units, net, log10 of rest(g), tables ``w, c`` and ``w, before`` of tokens outside the shortlist, N and V.
 
     ``before`` maps contexts g to the first term of the memory.
     """
@@ -491,25 +491,24 @@ def fit(texts: DataFrame) -> tuple[Units, Net, np.ndarray, DataFrame, int, int]:
         contexts = np.frombuffer(joined[3], "<i8")
     # the memory: counts of tokens outside the shortlist by what stands before them
     after = sc.broadcast(np.maximum(contexts, 1))
-    each = texts.mapInArrow(_pairs(sent), "w long, g int, n long").groupBy("w", "g").agg(F.sum("n").alias("n"))
-    again = F.when(F.col("n") > 1, F.struct("g", (F.col("n") - 1).alias("m")))
-    by_token = each.groupBy("w").agg(F.sum("n").alias("c"), F.collect_list(again).alias("again"))
+    each = texts.mapInArrow(_pairs(sent), "w long, g int, n long").groupBy("w", "g").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
+    repeated = stored(each.select("w", "g", (F.col("n") - 1).alias("m")), "lm-repeated")
+    by_token = repeated.groupBy("w").agg(F.collect_list("g").alias("g"), F.collect_list("m").alias("m"))
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """``again`` with its counts over those of the contexts."""
+        """A map of contexts to the counts over those of the contexts."""
         for batch in batches:
-            lists = batch.column(2)
-            inner = lists.values
-            g, m = (inner.field(k).to_numpy(zero_copy_only=False) for k in range(2))
-            entries = pa.MapArray.from_arrays(lists.offsets, pa.array(g, pa.int32()), pa.array(m / after.value[g], pa.float64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), entries, lists], ["w", "c", "before", "again"])
-
-    table = stored(by_token.mapInArrow(shares, "w long, c long, before map<int,double>, again array<struct<g:int,m:bigint>>"), "lm-memory")
-    taken = table.select(F.explode("again").alias("x")).groupBy(F.col("x.g").cast("long").alias("g")).agg(F.sum("x.m").alias("m"))
+            g, m = (batch.column(k) for k in (1, 2))
+            flat = g.flatten().to_numpy()
+            entries = pa.MapArray.from_arrays(pa.array(np.append(0, np.cumsum(pc.list_value_length(g).to_numpy())), pa.int32()), pa.array(flat, pa.int32()), pa.array(m.flatten().to_numpy() / after.value[flat], pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), entries], ["w", "before"])
+
+    table = by_token.mapInArrow(shares, "w long, before map<int,double>")
+    taken = repeated.groupBy(F.col("g").cast("long").alias("g")).agg(F.sum("m").alias("m"))
     g, m = _arrays(taken)
     rest = np.ones(memory)
     rest[g] = 1 - m / np.maximum(contexts[g], 1)
-    return units, net, np.log10(np.maximum(rest, 1e-12)), table.select("w", "c", "before"), n, v
+    return units, net, np.log10(np.maximum(rest, 1e-12)), counts.where(~shortlisted).select("w", "c"), table, n, v
 
 
 _ROW = "w long, rid long, x long, doc_id long, held int, n_tokens long, n_known long, base double, score double"
@@ -531,10 +530,7 @@ def _scored(units, net, rest, floor: float):
                 rid, ids, held = (batch.column(k).slice(a, b - a) for k in range(3))
                 u, spot, bucket = known.of(r)
                 g, ctx = memory_of(r, known.memory), contexts_of(u, r.at, start)
-                log_p = np.empty(len(u))
-                for k in range(0, len(u), _SCORED):
-                    log_p[k : k + _SCORED] = model.log_probabilities(ctx[k : k + _SCORED], u[k : k + _SCORED])
-                log_p = log_p / np.log(10) + left[g]
+                log_p = model.log_probabilities(ctx, u) / np.log(10) + left[g]
                 rare = np.flatnonzero(spot < 0)
                 first = r.at[:-1]
                 sums = [np.add.reduceat(x, first) for x in (np.where(spot < 0, 0.0, log_p), base[spot], known_count[spot])]
@@ -561,12 +557,12 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
     ship(spark)
     held = (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds == 0).cast("int")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("held", held)
-    units, net, rest, table, n, v = fit(rows.where("held = 0"))
+    units, net, rest, rarer, table, n, v = fit(rows.where("held = 0"))
     floor = float(np.log10(n + 0.1 * (v + 1)))
     sc = spark.sparkContext
     apart = rows.withColumn("rid", F.monotonically_increasing_id()).select("rid", "doc_id", "held", "text")
     parts = apart.mapInArrow(_scored(sc.broadcast(units), sc.broadcast(net), sc.broadcast(rest), floor), _ROW)
-    each = parts.join(table.hint("shuffle_hash"), "w", "left")
+    each = parts.join(rarer.hint("shuffle_hash"), "w", "left").join(table.hint("shuffle_hash"), "w", "left")
     token, x = F.col("x") >= 0, F.col("x")
     g = F.shiftright(x, 43).cast("int")
     bucket = F.shiftright(x, 32).bitwiseAND(F.lit(BUCKETS - 1)).cast("int") + 1
