@@ -122,7 +122,7 @@ def _border(rows: DataFrame, key: Column) -> DataFrame:
 def _within(rows: DataFrame, border: DataFrame, key: Column) -> DataFrame:
     """The rows at the border, with the tokens before it as ``_base``; at most one key for each source."""
     met = rows["_s"].eqNullSafe(border["_s"]) & (key == border["_at"])
-    return rows.join(border, met).select(rows["_s"], "_n", "_rest", "_k", F.col("_before").alias("_base"))
+    return rows.join(border, met).select(border["_s"], "_n", "_rest", "_k", F.col("_before").alias("_base"))
 
 
 def plan(sizes: DataFrame, goal: Goal) -> DataFrame:

@@ -47,6 +47,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rules_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the standard policy fails, alone or with others, and what the policy keeps without it."""
+    return rules.ablation(rules.ledger(table(spark, sf_dir, "documents")), rules.STANDARD)
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nine tenths of the largest entropy or four passes at most, at the corpus's own number of tokens."""
     shown = mixing.mixed(table(spark, sf_dir, "documents"), mixing.Goal(entropy=0.9, repeats=4.0))
@@ -76,9 +81,28 @@ QUERIES = {
     "op6_token_files": op6_token_files,
     "op8_mix_sources": op8_mix_sources,
     "op7_quality_rules": op7_quality_rules,
+    "rules_ablation": rules_ablation,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
+_LEDGER = rf"""
+with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
+w as (select *, regexp_extract_all(text, '{_WORD}') as words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as lines from d),
+win as (select rid, len(words) as n, generate_subscripts(words, 1) as i, words from w),
+tri as (select rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] as t from win where i <= n - 2),
+rep as (select rid, i from tri qualify count(*) over (partition by rid, t) > 1),
+cov as (select rid, count(distinct p) as n_repeat_words from (select rid, unnest([i, i + 1, i + 2]) as p from rep) group by rid),
+m as (select w.doc_id, len(words)::bigint as n_words, length(array_to_string(words, ''))::bigint as word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+        (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words,
+        len(lines)::bigint as n_lines from w left join cov using (rid)),
+b as (select *, (case when n_words < 50 then 1 else 0 end
+        + case when 100 * n_repeat_words > 50 * n_words then 2 else 0 end
+        + case when 10 * n_symbols > 3 * n_words then 4 else 0 end
+        + case when n_lines >= 4 and 100 * n_dup_lines > 30 * n_lines then 8 else 0 end
+        + case when word_chars < 2 * n_words then 16 else 0 end
+        + case when word_chars > 20 * n_words then 32 else 0 end)::bigint as failed_bits from m)"""
 ORACLE_SQL = {
     "op4_chat_format": r"""
 with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -99,24 +123,12 @@ s as (select q.vec_id as query_id, v.vec_id, list_sum(list_transform(range(1, le
       from q join v on q.vec_id <> v.vec_id)
 select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
 from s qualify row_number() over (partition by query_id order by score desc, vec_id) <= 5""",
-    "op7_quality_rules": rf"""
-with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as text from documents),
-w as (select *, regexp_extract_all(text, '{_WORD}') as words,
-        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) as lines from d),
-win as (select rid, len(words) as n, generate_subscripts(words, 1) as i, words from w),
-tri as (select rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] as t from win where i <= n - 2),
-rep as (select rid, i from tri qualify count(*) over (partition by rid, t) > 1),
-cov as (select rid, count(distinct p) as n_repeat_words from (select rid, unnest([i, i + 1, i + 2]) as p from rep) group by rid),
-m as (select w.doc_id, len(words)::bigint as n_words, length(array_to_string(words, ''))::bigint as word_chars,
-        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
-        (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words,
-        len(lines)::bigint as n_lines from w left join cov using (rid)),
-b as (select *, (case when n_words < 50 then 1 else 0 end
-        + case when 100 * n_repeat_words > 50 * n_words then 2 else 0 end
-        + case when 10 * n_symbols > 3 * n_words then 4 else 0 end
-        + case when n_lines >= 4 and 100 * n_dup_lines > 30 * n_lines then 8 else 0 end
-        + case when word_chars < 2 * n_words then 16 else 0 end
-        + case when word_chars > 20 * n_words then 32 else 0 end)::bigint as failed_bits from m)
+    "op7_quality_rules": _LEDGER + """
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (failed_bits & 3) <> 0 as base_failed, failed_bits = 0 as kept, failed_bits from b""",
+    "rules_ablation": _LEDGER + """,
+r as (select * from (values (0, 'few_words'), (1, 'repeated_windows'), (2, 'symbols'), (3, 'repeated_lines'), (4, 'short_words'), (5, 'long_words')) t(bit, rule))
+select bit::int as bit, rule, count(*) filter (where failed_bits & (1 << bit) <> 0)::bigint as fails, count(*) filter (where failed_bits = (1 << bit))::bigint as fails_alone,
+  count(*) filter (where failed_bits = 0 or failed_bits = (1 << bit))::bigint as kept_without
+from b cross join r group by bit, rule""",
 }
